@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.operators import quality as D
 from ledgerlens.operators import sql_patterns as Q
 from ledgerlens.params import TEST as P
 from ledgerlens.sources.adapter import Tables, load_tables
@@ -42,4 +43,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekly_anomaly": _bind(Q.weekly_anomaly, k=P["anomaly_k"]),
         "next_best_action": _bind(Q.next_best_action, snapshot=P["snapshot"], silver=s, gold=g,
                                   platinum=p, limit=50),
+        "row_counts": _bind(D.row_counts),
+        "null_checks": _bind(D.null_checks),
+        "uniqueness_checks": _bind(D.uniqueness_checks),
+        "referential_checks": _bind(D.referential_checks),
+        "range_checks": _bind(D.range_checks, max_order_total=P["max_order_total"],
+                              max_discount=P["max_discount"]),
+        "business_rule_checks": _bind(D.business_rule_checks),
+        "order_value_outliers": _bind(D.order_value_outliers, k=P["outlier_k"]),
+        "completeness_summary": _bind(D.completeness_summary),
+        "duplicate_line_items": _bind(D.duplicate_line_items, limit=20),
+        "quality_score": _bind(D.quality_score),
+        "quality_gate": _bind(D.quality_gate, max_discount=P["max_discount"],
+                              min_customers=P["min_customers"], min_orders=P["min_orders"]),
     }
