@@ -69,8 +69,10 @@ def bin_right(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Colum
 
 
 def label_order(c: Column, labels: Sequence[str]) -> Column:
-    """Ordinal (1-based) of a label in a fixed label order, for sorting."""
-    return F.array_position(F.array(*[F.lit(x) for x in labels]), c).cast("int")
+    """Ordinal (1-based) of a label in a fixed label order, for sorting;
+    NULL for a label outside the list."""
+    pos = F.array_position(F.array(*[F.lit(x) for x in labels]), c).cast("int")
+    return F.when(pos > 0, pos)
 
 
 def clamp(c: Column, lower=None, upper=None) -> Column:

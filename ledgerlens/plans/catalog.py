@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.operators import predictive as M
 from ledgerlens.operators import quality as D
 from ledgerlens.operators import sql_patterns as Q
 from ledgerlens.params import TEST as P
@@ -56,4 +57,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_score": _bind(D.quality_score),
         "quality_gate": _bind(D.quality_gate, max_discount=P["max_discount"],
                               min_customers=P["min_customers"], min_orders=P["min_orders"]),
+        **predictive_queries(),
+    }
+
+
+def predictive_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    bands = dict(edges=P["band_edges"], labels=P["band_labels"])
+    churn = dict(snapshot=P["snapshot"], threshold=180)
+    strong, moderate = P["lift_cuts"]
+    return {
+        "revenue_forecast": _bind(M.revenue_forecast, months=6, base_year=P["base_year"]),
+        "forecast_fit": _bind(M.forecast_fit, base_year=P["base_year"]),
+        "churn_features": _bind(M.churn_features, **churn),
+        "churn_predictions": _bind(M.churn_scores, **churn),
+        "churn_metrics": _bind(M.churn_metrics, **churn),
+        "churn_risk_summary": _bind(M.churn_risk_summary, **churn),
+        "churn_risk_distribution": _bind(M.churn_risk_distribution, **churn),
+        "confusion_matrix": _bind(M.confusion_matrix, **churn),
+        "price_elasticity": _bind(M.price_elasticity_bands, **bands),
+        "elasticity_summary": _bind(M.elasticity_summary, **bands, base=P["base_band"],
+                                    target=P["target_band"], price_change=P["price_change"]),
+        "market_basket": _bind(M.market_basket, min_support=P["basket_support"], strong=strong,
+                               moderate=moderate),
+        "clv_prediction": _bind(M.clv_prediction, snapshot=P["snapshot"], tiers=P["clv_tiers"]),
+        "clv_tier_summary": _bind(M.clv_tier_summary, snapshot=P["snapshot"], tiers=P["clv_tiers"]),
+        "discount_effect": _bind(M.discount_effect, **bands),
+        "discount_recommendation": _bind(M.discount_recommendation, **bands,
+                                         min_margin=P["min_margin"]),
+        "discount_band_impact": _bind(M.discount_band_impact, **bands),
     }
