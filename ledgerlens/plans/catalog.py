@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.operators import dashboard as K
 from ledgerlens.operators import predictive as M
+from ledgerlens.operators import reports as R
 from ledgerlens.operators import quality as D
 from ledgerlens.operators import sql_patterns as Q
 from ledgerlens.params import TEST as P
@@ -58,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_gate": _bind(D.quality_gate, max_discount=P["max_discount"],
                               min_customers=P["min_customers"], min_orders=P["min_orders"]),
         **predictive_queries(),
+        **dashboard_queries(),
     }
 
 
@@ -86,3 +89,59 @@ def predictive_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                          min_margin=P["min_margin"]),
         "discount_band_impact": _bind(M.discount_band_impact, **bands),
     }
+
+
+def _forecast_view(t: Tables, months: int, base_year: int) -> DataFrame:
+    """K17 over the M1 output."""
+    return K.forecast_view(M.revenue_forecast(t, months, base_year))
+
+
+def dashboard_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    s, g, p = P["nba_tiers"]
+    return {
+        "executive_kpis": _bind(K.executive_kpis),
+        "executive_kpis_filtered": _bind(K.executive_kpis, years=P["filter_years"],
+                                         countries=P["filter_countries"],
+                                         channels=P["filter_channels"]),
+        "monthly_revenue": _bind(K.monthly_revenue),
+        "mom_growth": _bind(K.mom_growth),
+        "revenue_by_channel": _bind(K.revenue_by, dim="channel"),
+        "revenue_by_country_top8": _bind(K.revenue_by, dim="country", top=8),
+        "revenue_by_payment": _bind(K.revenue_by, dim="payment_method"),
+        "payment_mix": _bind(K.payment_mix),
+        "status_distribution": _bind(K.status_distribution),
+        "return_reasons": _bind(K.return_reasons),
+        "return_status_counts": _bind(K.return_status_counts),
+        "returns_kpis": _bind(K.returns_kpis),
+        "returns_over_time": _bind(K.returns_over_time),
+        "inventory_health": _bind(K.inventory_health),
+        "top_products": _bind(K.top_products, n=10),
+        "best_sellers": _bind(K.top_products, n=20),
+        "filter_domains": _bind(K.filter_domains),
+        "chart_channel_revenue": _bind(K.chart_channel_revenue),
+        "forecast_view": _bind(_forecast_view, months=6, base_year=P["base_year"]),
+        "category_performance": _bind(R.category_performance),
+        "monthly_summary": _bind(R.monthly_summary),
+        "channel_performance": _bind(R.channel_performance),
+        "payment_method_mix": _bind(R.payment_method_mix),
+        "customer_ltv_segments": _bind(R.customer_ltv_segments, silver=s, gold=g, platinum=p),
+        "rfm_scores": _bind(R.rfm_scores, snapshot=P["snapshot"]),
+        "rfm_segments": _bind(R.rfm_segments, snapshot=P["snapshot"]),
+        "new_vs_returning": _bind(R.new_vs_returning),
+        "cohort_matrix": _bind(R.cohort_matrix, max_offset=12),
+        "revenue_by_country": _bind(R.revenue_by_country),
+        "top_cities": _bind(R.top_cities, n=20),
+        "revenue_by_age_gender": _bind(R.revenue_by_age_gender),
+        "status_share": _bind(R.status_share),
+        "delivery_time_by_country": _bind(R.delivery_time_by_country),
+        "return_rate_by_category": _bind(R.return_rate_by_category),
+        "return_reason_breakdown": _bind(R.return_reason_breakdown),
+        "low_stock_alerts": _bind(R.low_stock_alerts),
+        "ytd_and_mom": _bind(R.ytd_and_mom),
+        "category_rank_monthly": _bind(R.category_rank_monthly),
+        "purchase_gap": _bind(R.purchase_gap),
+        "time_intelligence": _bind(R.time_intelligence),
+        "date_dimension": _bind(R.date_dimension),
+        "return_rate_trend": _bind(R.return_rate_trend),
+        "rating_vs_sales": _bind(R.rating_vs_sales),
+    }
