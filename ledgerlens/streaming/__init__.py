@@ -1,0 +1,9 @@
+"""Streaming.
+
+The analytics this package rebuilds are batch reports over a fixed order
+history; they have no event stream, watermark or stateful operator, so no
+streaming operator is provided.  Every operator takes DataFrames, so a
+caller can run the stateless ones (filters, projections, the fused quality
+counts per micro-batch) inside ``foreachBatch`` of a ``readStream`` over the
+month-partitioned layout written by ``sources.sinks.write_orders_by_month``.
+"""
