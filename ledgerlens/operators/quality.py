@@ -91,9 +91,13 @@ def uniqueness_checks(t: Tables) -> DataFrame:
 
 
 def _orphans(child: DataFrame, key: str, parent: DataFrame, pkey: str, name: str) -> DataFrame:
+    """Child rows whose key has no parent (NULL keys included).  Child keys
+    are counted first (partial aggregation), so the anti join shuffles one
+    row per distinct key and a hot key cannot skew it."""
     parents = parent.select(F.col(pkey).alias(key))
-    return (child.select(key).join(parents, key, "left_anti")
-            .agg(F.count(F.lit(1)).alias("violations"))
+    keys = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return (keys.join(parents, key, "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations"))
             .select(F.lit(name).alias("check_name"), "violations"))
 
 

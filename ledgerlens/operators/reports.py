@@ -16,7 +16,7 @@ from ledgerlens.functions.core import (
     bin_right, not_cancelled, rnd, week_w, weekday_name, ym,
 )
 from ledgerlens.operators.dashboard import STOCK_EDGES, STOCK_LABELS, product_sales
-from ledgerlens.operators.ranking import global_ntile, month_spine
+from ledgerlens.operators.ranking import choose_skew_safe, global_ntile, month_spine, with_neighbors
 from ledgerlens.operators.sql_patterns import cohort_counts
 from ledgerlens.sources.adapter import Tables
 
@@ -249,12 +249,22 @@ def category_rank_monthly(t: Tables) -> DataFrame:
                       F.rank().over(w).alias("rank"))
 
 
-def purchase_gap(t: Tables) -> DataFrame:
+def purchase_gap(t: Tables, skew_safe="auto") -> DataFrame:
     """Per customer with two or more orders the mean, min and max days
-    between consecutive orders."""
+    between consecutive orders.  ``skew_safe`` takes the previous order from
+    :func:`with_neighbors` instead of a per-customer window; the final
+    per-customer aggregate is partial (map-side), so a hot customer is never
+    gathered in one task.  ``"auto"`` tests for a hot customer first."""
     o = not_cancelled(t.orders)
-    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
-    gaps = o.select("customer_id", F.datediff("order_date", F.lag("order_date").over(w)).alias("_g"))
+    if choose_skew_safe(o, "customer_id", skew_safe):
+        rows, _ = with_neighbors(o.select("customer_id", "order_id", "order_date"), "customer_id",
+                                 [F.col("order_date"), F.col("order_id")], ["order_date"])
+        gaps = rows.select("customer_id",
+                           F.datediff("order_date", F.col("lag1_order_date")).alias("_g"))
+    else:
+        w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+        gaps = o.select("customer_id",
+                        F.datediff("order_date", F.lag("order_date").over(w)).alias("_g"))
     return (gaps.groupBy("customer_id").agg(
         (F.count(F.lit(1))).alias("orders"), F.avg("_g").alias("_avg"),
         F.min("_g").alias("min_gap_days"), F.max("_g").alias("max_gap_days"))

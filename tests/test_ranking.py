@@ -60,3 +60,41 @@ def test_fewer_rows_than_tiles(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id long, k long")
     assert global_ntile(df, 10, [F.col("k")], "t").count() == 0
+
+
+def test_with_neighbors_equals_window_with_hot_key_and_nulls(spark):
+    from ledgerlens.operators.ranking import with_neighbors
+    rnd = random.Random(3)
+    rows = []
+    for i in range(900):
+        k = 1 if i % 3 == 0 else (None if i % 17 == 0 else rnd.randint(2, 60))
+        rows.append((k, i, rnd.randint(0, 50)))
+    df = spark.createDataFrame(rows, "k long, id long, d long")
+    got, bounds = with_neighbors(df, "k", [F.col("d"), F.col("id")], ["d"], lags=(1, 2), leads=(1,),
+                                 num_partitions=7)
+    w = Window.partitionBy("k").orderBy("d", "id")
+    exp = df.select("id", F.lag("d", 1).over(w).alias("l1"), F.lag("d", 2).over(w).alias("l2"),
+                    F.lead("d", 1).over(w).alias("n1"),
+                    F.row_number().over(w).alias("rn"),
+                    F.count("*").over(Window.partitionBy("k")).alias("cnt")).collect()
+    j = got.join(bounds, got["k"].eqNullSafe(bounds["k"])).select(
+        "id", "lag1_d", "lag2_d", "lead1_d", (F.col("_rank") - F.col("_first") + 1).alias("rn"), "_n")
+    assert {r.id: (r.lag1_d, r.lag2_d, r.lead1_d, r.rn, r._n) for r in j.collect()} == \
+        {r.id: (r.l1, r.l2, r.n1, r.rn, r.cnt) for r in exp}
+
+
+def test_has_hot_key(spark):
+    from ledgerlens.operators.ranking import has_hot_key
+    even = spark.createDataFrame([(i % 500,) for i in range(5000)], "k long")
+    hot = spark.createDataFrame([(0 if i % 3 == 0 else i,) for i in range(5000)], "k long")
+    assert not has_hot_key(even, "k", num_partitions=16)
+    assert has_hot_key(hot, "k", num_partitions=16)
+
+
+def test_journey_paths_agree(spark):
+    from ledgerlens.operators.sql_patterns import customer_journey
+    from ledgerlens.sources.adapter import load_tables
+    t = load_tables(spark, "/root/testdata/sf0.001")
+    a = sorted(tuple(r) for r in customer_journey(t, skew_safe=True).collect())
+    b = sorted(tuple(r) for r in customer_journey(t, skew_safe=False).collect())
+    assert a == b
