@@ -90,26 +90,30 @@ def _zero_filled_monthly(events: DataFrame, date_col: str, value: Column, name:
                     F.coalesce(F.col("_v"), F.lit(0)).alias(name)))
 
 
-def monthly_revenue(t: Tables) -> DataFrame:
-    """K2: zero-filled month-end revenue series with a 'Mon YYYY' label."""
-    m = _zero_filled_monthly(not_cancelled(t.orders), "order_date", F.sum("order_total"), "_rev")
+def monthly_revenue(t: Tables, years=None, countries=None, channels=None) -> DataFrame:
+    """K2: zero-filled month-end revenue series with a 'Mon YYYY' label
+    (optionally over the filtered orders)."""
+    o = filtered_orders(t, years, countries, channels)
+    m = _zero_filled_monthly(not_cancelled(o), "order_date", F.sum("order_total"), "_rev")
     return m.select("month", rnd("_rev").alias("revenue"), month_label(F.col("month")).alias("month_label"))
 
 
-def mom_growth(t: Tables) -> DataFrame:
+def mom_growth(t: Tables, years=None, countries=None, channels=None) -> DataFrame:
     """K3: K2 plus month-over-month growth % (NULL for the first month and
     after a zero month)."""
-    m = monthly_revenue(t)
+    m = monthly_revenue(t, years, countries, channels)
     w = Window.orderBy("month")  # one row per month
     prev = F.lag("revenue").over(w)
     return m.withColumn("mom_growth_pct",
                         rnd((F.try_divide(F.col("revenue"), F.when(prev != 0, prev)) - 1) * 100))
 
 
-def revenue_by(t: Tables, dim: str, top: int | None = None) -> DataFrame:
+def revenue_by(t: Tables, dim: str, top: int | None = None, years=None, countries=None,
+               channels=None) -> DataFrame:
     """K4: non-cancelled revenue by ``dim`` (channel, country or
-    payment_method), largest first, optionally the top ``top``."""
-    nc = not_cancelled(t.orders)
+    payment_method), largest first, optionally the top ``top`` and over the
+    filtered orders."""
+    nc = not_cancelled(filtered_orders(t, years, countries, channels))
     if dim in nc.columns:
         g = nc.groupBy(dim).agg(F.sum("order_total").alias("_rev"))
     else:
@@ -128,9 +132,10 @@ def payment_mix(t: Tables) -> DataFrame:
             .groupBy("payment_method").agg(F.countDistinct("order_id").alias("orders")))
 
 
-def status_distribution(t: Tables) -> DataFrame:
-    """K6: orders per status (NULL excluded)."""
-    return (t.orders.filter(F.col("status").isNotNull()).groupBy("status")
+def status_distribution(t: Tables, years=None, countries=None, channels=None) -> DataFrame:
+    """K6: orders per status (NULL excluded), optionally filtered."""
+    o = filtered_orders(t, years, countries, channels)
+    return (o.filter(F.col("status").isNotNull()).groupBy("status")
             .agg(F.count(F.lit(1)).alias("orders")))
 
 
@@ -219,6 +224,14 @@ def chart_channel_revenue(t: Tables) -> DataFrame:
     return chart_series(r, "channel", "revenue", F.struct(-F.col("revenue"), F.col("channel")))
 
 
+def chart_top_products(t: Tables, n: int = 5, name_chars: int = 30) -> DataFrame:
+    """K18 applied to the top ``n`` products: names cut to ``name_chars``
+    characters (FN16), revenue in millions."""
+    top = top_products(t, n).withColumn("short_name", F.substring("product_name", 1, name_chars))
+    return chart_series(top, "short_name", "revenue",
+                        F.struct(-F.col("revenue"), F.col("product_id")))
+
+
 def forecast_view(forecast: DataFrame, last: int = 12) -> DataFrame:
     """The last ``last`` actual months and all forecast months, in
     millions."""

@@ -98,16 +98,21 @@ def _forecast_view(t: Tables, months: int, base_year: int) -> DataFrame:
 
 def dashboard_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     s, g, p = P["nba_tiers"]
+    filters = dict(years=P["filter_years"], countries=P["filter_countries"],
+                   channels=P["filter_channels"])
     return {
         "executive_kpis": _bind(K.executive_kpis),
         "executive_kpis_filtered": _bind(K.executive_kpis, years=P["filter_years"],
                                          countries=P["filter_countries"],
                                          channels=P["filter_channels"]),
         "monthly_revenue": _bind(K.monthly_revenue),
+        "monthly_revenue_filtered": _bind(K.monthly_revenue, **filters),
         "mom_growth": _bind(K.mom_growth),
         "revenue_by_channel": _bind(K.revenue_by, dim="channel"),
         "revenue_by_country_top8": _bind(K.revenue_by, dim="country", top=8),
         "revenue_by_payment": _bind(K.revenue_by, dim="payment_method"),
+        "revenue_by_country_filtered": _bind(K.revenue_by, dim="country", **filters),
+        "status_distribution_filtered": _bind(K.status_distribution, **filters),
         "payment_mix": _bind(K.payment_mix),
         "status_distribution": _bind(K.status_distribution),
         "return_reasons": _bind(K.return_reasons),
@@ -119,6 +124,7 @@ def dashboard_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_sellers": _bind(K.top_products, n=20),
         "filter_domains": _bind(K.filter_domains),
         "chart_channel_revenue": _bind(K.chart_channel_revenue),
+        "chart_top_products": _bind(K.chart_top_products, n=5, name_chars=30),
         "forecast_view": _bind(_forecast_view, months=6, base_year=P["base_year"]),
         "category_performance": _bind(R.category_performance),
         "monthly_summary": _bind(R.monthly_summary),

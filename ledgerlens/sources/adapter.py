@@ -175,6 +175,16 @@ def load_csv_tables(spark: SparkSession, data_dir: str) -> Tables:
     return Tables(**frames)
 
 
+def read_csv(spark: SparkSession, path: str, schema, label_col: str | None = None) -> DataFrame:
+    """SRC1 / SRC4: one CSV file with a header row and an explicit schema.
+    A written row label (pandas ``index_col=0``) is an ordinary first column;
+    ``label_col`` names it."""
+    df = spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    if label_col is not None and df.columns[0] != label_col:
+        df = df.withColumnRenamed(df.columns[0], label_col)
+    return df
+
+
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     """SRC5: the churn-metrics JSON document (one multi-line object)."""
     return spark.read.schema(S.CHURN_METRICS).option("multiLine", True).json(path)

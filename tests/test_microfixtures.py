@@ -183,3 +183,27 @@ def test_published_months_golden_forecast(spark):
         assert abs(r.forecast_revenue / 1e6 - e) <= 0.011, (r.ym, r.forecast_revenue, e)
     fit = M.forecast_fit(t, base_year=2022).collect()[0]
     assert abs(fit.slope / 1e5 - 17.7) < 0.05 and abs(fit.r2 - 0.83) < 0.005
+
+
+def test_quality_gate_failing_volume_bound(spark):
+    t = make_tables(spark, orders=[order(1, 1, "2023-01-01")], customers=[customer(1)],
+                    items=[item(1, 10)], products=[product(10)])
+    rows = {r.check_name: (r.observed, r.passed) for r in
+            Dq.quality_gate(t, min_customers=1000, min_orders=1).collect()}
+    assert rows["customers: expected ≥1000"] == (1, False)
+    assert rows["orders: expected ≥1"] == (1, True)
+    assert rows["quality gate (all checks)"] == (2, False)  # volume + delivered without date
+
+
+def test_chart_series_order_and_scale(spark):
+    df = spark.createDataFrame([("a", 1_500_000.0), ("b", 2_000_000.0), ("c", 1_500_000.0)],
+                               "name string, revenue double")
+    r = K.chart_series(df, "name", "revenue",
+                       F.struct(-F.col("revenue"), F.col("name"))).collect()[0]
+    assert r.labels == ["b", "a", "c"] and r.values == [2.0, 1.5, 1.5]
+
+
+def test_filters_empty_selection_is_empty(spark):
+    t = make_tables(spark, orders=[order(1, 1, "2023-01-01")], customers=[customer(1)])
+    k = K.executive_kpis(t, years=[]).collect()[0]
+    assert k.orders == 0 and k.revenue == 0.0 and k.aov == 0.0 and k.cancel_rate_pct == 0.0

@@ -59,3 +59,13 @@ def test_month_partitioned_layout_prunes(spark, tmp_dir):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "order_month" in plan
     assert one.count() == t.orders.filter(F.date_format("order_date", "yyyy-MM") == "1996-03").count()
+
+
+def test_read_csv_with_row_label(spark, tmp_dir):
+    from ledgerlens.sources.adapter import read_csv
+    path = os.path.join(tmp_dir, "cohort.csv")
+    with open(path, "w") as f:
+        f.write(",0,1\n2023-01,1.0,0.5\n2023-02,1.0,0.25\n")
+    df = read_csv(spark, path, "c string, m0 double, m1 double", label_col="cohort_month")
+    assert df.columns == ["cohort_month", "m0", "m1"]
+    assert {r.cohort_month: r.m1 for r in df.collect()} == {"2023-01": 0.5, "2023-02": 0.25}
