@@ -323,22 +323,29 @@ def market_basket(t: Tables, min_support: float = 0.005, strong: float = 1.2,
     product: support (per category rounded to 4 dp before use), confidence
     both ways and lift; strength on the unrounded lift.
 
-    Orders are first reduced to distinct (order, category), so the pair
-    self-join is bounded by the number of categories per order."""
-    basket = _sold_lines(t, ["category"]).select("order_id", "category").distinct()
-    n = basket.agg(F.countDistinct("order_id").alias("_n"))
-    sup = (basket.groupBy("category").agg(F.count(F.lit(1)).alias("_c"))
-           .crossJoin(F.broadcast(n))
+    Each order is reduced to its sorted set of categories (at most the number
+    of categories, however large the order), identical sets are counted once
+    with a weight, and pairs are expanded per distinct set, not per order:
+    no self-join and no per-order pair list."""
+    lines = _sold_lines(t, ["category"]).filter(F.col("category").isNotNull())
+    per_order = lines.groupBy("order_id").agg(
+        F.array_sort(F.collect_set("category")).alias("cats"))
+    sets = per_order.groupBy("cats").agg(F.count(F.lit(1)).alias("w"))
+    n = sets.agg(F.sum("w").alias("_n"))
+    sup = (sets.select(F.explode("cats").alias("category"), "w")
+           .groupBy("category").agg(F.sum("w").alias("_c"))
+           .crossJoin(F.broadcast(n))  # one-row side
            .select("category", rnd(F.col("_c") / F.col("_n"), 4).alias("_s")))
-    a = basket.select("order_id", F.col("category").alias("category_A"))
-    b = basket.select("order_id", F.col("category").alias("category_B"))
-    pairs = (a.join(b, "order_id").filter(F.col("category_A") < F.col("category_B"))
-             .groupBy("category_A", "category_B").agg(F.count(F.lit(1)).alias("_co"))
-             .crossJoin(F.broadcast(n))
+    pairs = (sets.select(F.explode("cats").alias("category_A"), "cats", "w")
+             .select("category_A", F.explode("cats").alias("category_B"), "w")
+             .filter(F.col("category_A") < F.col("category_B"))
+             .groupBy("category_A", "category_B").agg(F.sum("w").alias("_co"))
+             .crossJoin(F.broadcast(n))  # one-row side
              .withColumn("co_support", F.col("_co") / F.col("_n"))
              .filter(F.col("co_support") >= min_support))
-    sa = sup.select(F.col("category").alias("category_A"), F.col("_s").alias("s_a"))
-    sb = sup.select(F.col("category").alias("category_B"), F.col("_s").alias("s_b"))
+    # sup has one row per category: bounded by the category domain.
+    sa = F.broadcast(sup.select(F.col("category").alias("category_A"), F.col("_s").alias("s_a")))
+    sb = F.broadcast(sup.select(F.col("category").alias("category_B"), F.col("_s").alias("s_b")))
     j = pairs.join(sa, "category_A").join(sb, "category_B")
     cs = F.col("co_support")
     conf_ab = F.when(F.col("s_a") > 0, cs / F.col("s_a")).otherwise(F.lit(0.0))
