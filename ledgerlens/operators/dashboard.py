@@ -58,16 +58,15 @@ def executive_kpis(t: Tables, years=None, countries=None, channels=None) -> Data
         F.count_if(F.col("status") == "Delivered").alias("_deliv"),
         F.avg(F.when(live, F.col("coupon_used"))).alias("_coupon"))
     units = t.order_items.join(not_cancelled(o).select("order_id"), "order_id", "left_semi") \
-        .agg(F.coalesce(F.sum("quantity"), F.lit(0)).cast("long").alias("units"))
+        .agg(F.coalesce(F.sum("quantity"), F.lit(0)).cast("long")).scalar()
     if filtered:
         delivered = o.filter(F.col("status") == "Delivered").select("order_id")
         rets = t.returns.join(delivered, "order_id", "left_semi")
     else:
         rets = t.returns
-    n_ret = rets.agg(F.count(F.lit(1)).alias("_ret"))
-    active = t.products.agg(F.coalesce(F.sum("is_active"), F.lit(0)).cast("long")
-                            .alias("active_products"))
-    one = k.crossJoin(units).crossJoin(n_ret).crossJoin(active)  # all one-row frames
+    n_ret = rets.agg(F.count(F.lit(1))).scalar()
+    active = t.products.agg(F.coalesce(F.sum("is_active"), F.lit(0)).cast("long")).scalar()
+    one = k.select("*", units.alias("units"), n_ret.alias("_ret"), active.alias("active_products"))
     zero = F.lit(0.0)
     return one.select(
         rnd(F.coalesce(F.col("_rev"), F.lit(0))).alias("revenue"),
@@ -156,8 +155,8 @@ def returns_kpis(t: Tables) -> DataFrame:
     orders; may exceed 100)."""
     r = t.returns.agg(F.count(F.lit(1)).alias("returns"), F.sum("refund_amount").alias("_tot"),
                       F.avg("refund_amount").alias("_avg"))
-    d = t.orders.agg(F.count_if(F.col("status") == "Delivered").alias("_deliv"))
-    return r.crossJoin(d).select(
+    d = t.orders.agg(F.count_if(F.col("status") == "Delivered")).scalar()
+    return r.withColumn("_deliv", d).select(
         "returns", rnd(F.coalesce(F.col("_tot"), F.lit(0))).alias("total_refund"),
         rnd("_avg").alias("avg_refund"),
         rnd(F.try_divide(F.col("returns") * 100.0, F.col("_deliv"))).alias("return_rate_pct"))

@@ -138,11 +138,11 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
         (F.col("recency") > threshold).cast("int").alias("churned"))
     feats = [f for f in FEATURES if not (drop_recency and f == "recency")]
     s = s.na.fill(0, subset=feats)
-    stats = s.agg(*[F.avg(f).alias(f"_m_{f}") for f in feats],
-                  *[F.stddev_pop(f).alias(f"_s_{f}") for f in feats])
-    z = s.crossJoin(F.broadcast(stats)).select(  # one-row side
-        "*", *[((F.col(f) - F.col(f"_m_{f}")) / (F.col(f"_s_{f}") + F.lit(1e-8))).alias(f"z_{f}")
-               for f in feats])
+    # Column means and population stds as scalar subqueries (merged by Spark
+    # into one aggregate over the customer frame).
+    z = s.select("*", *[((F.col(f) - s.agg(F.avg(f)).scalar())
+                         / (s.agg(F.stddev_pop(f)).scalar() + F.lit(1e-8))).alias(f"z_{f}")
+                        for f in feats])
     z = z.withColumn("is_test", F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(100))
                      >= train_pct)
     # The optimiser passes over the training rows many times: keep the
@@ -331,17 +331,15 @@ def market_basket(t: Tables, min_support: float = 0.005, strong: float = 1.2,
     per_order = lines.groupBy("order_id").agg(
         F.array_sort(F.collect_set("category")).alias("cats"))
     sets = per_order.groupBy("cats").agg(F.count(F.lit(1)).alias("w"))
-    n = sets.agg(F.sum("w").alias("_n"))
+    n = sets.agg(F.sum("w")).scalar()
     sup = (sets.select(F.explode("cats").alias("category"), "w")
            .groupBy("category").agg(F.sum("w").alias("_c"))
-           .crossJoin(F.broadcast(n))  # one-row side
-           .select("category", rnd(F.col("_c") / F.col("_n"), 4).alias("_s")))
+           .select("category", rnd(F.col("_c") / n, 4).alias("_s")))
     pairs = (sets.select(F.explode("cats").alias("category_A"), "cats", "w")
              .select("category_A", F.explode("cats").alias("category_B"), "w")
              .filter(F.col("category_A") < F.col("category_B"))
              .groupBy("category_A", "category_B").agg(F.sum("w").alias("_co"))
-             .crossJoin(F.broadcast(n))  # one-row side
-             .withColumn("co_support", F.col("_co") / F.col("_n"))
+             .withColumn("co_support", F.col("_co") / n)
              .filter(F.col("co_support") >= min_support))
     # sup has one row per category: bounded by the category domain.
     sa = F.broadcast(sup.select(F.col("category").alias("category_A"), F.col("_s").alias("s_a")))

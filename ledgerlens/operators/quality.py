@@ -168,12 +168,10 @@ def order_value_outliers(t: Tables, k: float = 3.0) -> DataFrame:
     """Non-cancelled orders with |z| > k against the non-cancelled mean
     and population std; z rounded to 2 dp."""
     nc = not_cancelled(t.orders)
-    stats = nc.agg(F.avg(F.col("order_total").cast("double")).alias("_mean"),
-                   F.stddev_pop(F.col("order_total").cast("double")).alias("_std"))
-    z = F.try_divide(F.col("order_total").cast("double") - F.col("_mean"),
-                     F.when(F.col("_std") != 0, F.col("_std")))
-    return (nc.crossJoin(F.broadcast(stats))  # one-row side
-            .filter(F.abs(z) > k)
+    mean = nc.agg(F.avg(F.col("order_total").cast("double"))).scalar()
+    std = nc.agg(F.stddev_pop(F.col("order_total").cast("double"))).scalar()
+    z = F.try_divide(F.col("order_total").cast("double") - mean, F.when(std != 0, std))
+    return (nc.filter(F.abs(z) > k)
             .select("order_id", "customer_id", "order_date", rnd("order_total").alias("order_total"),
                     rnd(z).alias("z_score")))
 

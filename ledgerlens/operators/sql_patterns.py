@@ -169,10 +169,9 @@ def category_affinity(t: Tables, min_count: int = 50) -> DataFrame:
              .groupBy("category_1", "category_2")
              .agg(F.count(F.lit(1)).alias("co_occurrences"))
              .filter(F.col("co_occurrences") >= min_count))
-    n_orders = not_cancelled(t.orders).agg(F.countDistinct("order_id").alias("_n"))
-    return (pairs.crossJoin(F.broadcast(n_orders))  # one-row side
-            .select("category_1", "category_2", "co_occurrences",
-                    rnd(F.col("co_occurrences") * 100.0 / F.col("_n"), 4).alias("support_pct")))
+    n_orders = not_cancelled(t.orders).agg(F.countDistinct("order_id")).scalar()
+    return pairs.select("category_1", "category_2", "co_occurrences",
+                        rnd(F.col("co_occurrences") * 100.0 / n_orders, 4).alias("support_pct"))
 
 
 def product_revenue(t: Tables, exclude_cancelled: bool = True) -> DataFrame:
@@ -243,15 +242,15 @@ def weekly_anomaly(t: Tables, k: float = 2.0) -> DataFrame:
     weekly = (not_cancelled(t.orders)
               .groupBy(year_week(F.col("order_date")).alias("week"))
               .agg(F.round(F.sum("order_total"), 2).alias("revenue")))
-    stats = weekly.agg(F.avg(F.col("revenue").cast("double")).alias("mean_rev"),
-                       F.stddev_pop(F.col("revenue").cast("double")).alias("std_rev"))
-    z = F.try_divide(F.col("revenue").cast("double") - F.col("mean_rev"),
-                     F.when(F.col("std_rev") != 0, F.col("std_rev")))
-    return (weekly.crossJoin(F.broadcast(stats))  # one-row side
-            .select("week", rnd("revenue").alias("revenue"),
-                    rnd("mean_rev").alias("mean_revenue"), rnd("std_rev").alias("std_deviation"),
-                    rnd(z).alias("z_score"),
-                    F.when(F.abs(z) > k, ANOMALY_LABEL).otherwise(NORMAL_LABEL).alias("status")))
+    # Scalar subqueries over the weekly frame (Spark merges them into one
+    # aggregate).
+    mean = weekly.agg(F.avg(F.col("revenue").cast("double"))).scalar()
+    std = weekly.agg(F.stddev_pop(F.col("revenue").cast("double"))).scalar()
+    z = F.try_divide(F.col("revenue").cast("double") - mean, F.when(std != 0, std))
+    return weekly.select("week", rnd("revenue").alias("revenue"),
+                         rnd(mean).alias("mean_revenue"), rnd(std).alias("std_deviation"),
+                         rnd(z).alias("z_score"),
+                         F.when(F.abs(z) > k, ANOMALY_LABEL).otherwise(NORMAL_LABEL).alias("status"))
 
 
 def next_best_action(t: Tables, snapshot: str = "2025-01-01", silver: float = 5000,
