@@ -229,61 +229,72 @@ def quality_score(t: Tables) -> DataFrame:
                       grade.alias("quality_grade"))
 
 
+def _gate(df: DataFrame, checks: Sequence[tuple[str, Column, int | None]]) -> DataFrame:
+    """One aggregate over ``df`` for several gate checks.  Each check is
+    ``(name, count expression, minimum)``: it passes when the count is 0, or
+    at least ``minimum`` when one is given (volume checks)."""
+    row = df.agg(*[expr.alias(f"_c{i}") for i, (_, expr, _m) in enumerate(checks)])
+    pairs = []
+    for i, (name, _, minimum) in enumerate(checks):
+        v = F.col(f"_c{i}").cast("long")
+        ok = (v == 0) if minimum is None else (v >= minimum)
+        pairs.append(F.struct(F.lit(name).alias("check_name"), v.alias("observed"),
+                              ok.alias("passed")))
+    return row.select(F.inline(F.array(*pairs)))
+
+
 def quality_gate(t: Tables, max_discount: float = 0.20, min_customers: int = 1000,
                  min_orders: int = 5000) -> DataFrame:
     """The CI gate's assertions as rows ``check_name, observed, passed``
     plus a final row for the whole gate (passed only if every check passed).
 
-    pandas rules: ``duplicated()`` treats NULLs as equal; ``isin`` and the
-    range ``all()`` tests fail on NULL."""
+    Single-row checks of one table share one aggregate.  pandas rules:
+    ``duplicated()`` treats NULLs as equal; ``isin`` and the range ``all()``
+    tests fail on NULL."""
     c = F.col
-    cust_n = t.customers.agg(F.count(F.lit(1)).alias("v"))
-    ord_n = t.orders.agg(F.count(F.lit(1)).alias("v"))
+    n_if = F.count_if
+    everything = F.count(F.lit(1))
     delivered_ids = t.orders.filter(c("status") == "Delivered").select("order_id")
 
-    def gt0(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("passed", c("violations") == 0)
-
-    def named(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select(F.lit(name).alias("check_name"), c("v").cast("long").alias("violations"))
+    def as_gate(frame: DataFrame) -> DataFrame:
+        return frame.select("check_name", c("violations").alias("observed"),
+                            (c("violations") == 0).alias("passed"))
 
     rows = [
-        gt0(fused_counts(t.customers, [("customers: null customer_id", c("customer_id").isNull())])),
-        gt0(fused_counts(t.orders, [("orders: null order_id", c("order_id").isNull())])),
-        gt0(fused_counts(t.order_items, [("order_items: null product_id", c("product_id").isNull())])),
-        gt0(dup_frame(t.customers, "customer_id", "customers: duplicate customer_ids", True)),
-        gt0(dup_frame(t.orders, "order_id", "orders: duplicate order_ids", True)),
-        gt0(dup_frame(t.customers, "email", "customers: duplicate emails", True)),
-        gt0(_orphans(t.orders, "customer_id", t.customers, "customer_id",
-                     "orders: orders with missing customer_id")),
-        gt0(_orphans(t.order_items, "order_id", t.orders, "order_id",
-                     "order_items: items with missing order_id")),
-        gt0(fused_counts(t.orders, [("orders: invalid status",
-                                     ~F.coalesce(c("status").isin(*VALID_STATUSES), F.lit(False)))])),
-        gt0(fused_counts(t.products, [("products: selling_price must be > 0", c("selling_price") <= 0),
-                                      ("products: cost_price must be > 0", c("cost_price") <= 0),
-                                      ("products: rating out of range [1, 5]",
-                                       ~F.coalesce((c("rating") >= 1) & (c("rating") <= 5),
-                                                   F.lit(False)))])),
-        gt0(fused_counts(t.order_items, [
-            ("order_items: quantity must be > 0", c("quantity") <= 0),
-            ("order_items: line_total must be >= 0", c("line_total") < 0),
+        _gate(t.customers, [("customers: null customer_id", n_if(c("customer_id").isNull()), None),
+                            (f"customers: expected ≥{min_customers}", everything, min_customers)]),
+        _gate(t.orders, [("orders: null order_id", n_if(c("order_id").isNull()), None),
+                         ("orders: invalid status",
+                          n_if(~F.coalesce(c("status").isin(*VALID_STATUSES), F.lit(False))), None),
+                         (f"orders: expected ≥{min_orders}", everything, min_orders)]),
+        _gate(t.order_items, [
+            ("order_items: null product_id", n_if(c("product_id").isNull()), None),
+            ("order_items: quantity must be > 0", n_if(c("quantity") <= 0), None),
+            ("order_items: line_total must be >= 0", n_if(c("line_total") < 0), None),
             (f"order_items: discount_pct out of range [0, {max_discount}]",
-             ~F.coalesce((c("discount_pct") >= 0) & (c("discount_pct") <= F.lit(max_discount)),
-                         F.lit(False)))])),
-        gt0(fused_counts(t.orders_delivery(), [("orders: Delivered orders with null delivery_date",
-                                                (c("status") == "Delivered")
-                                                & c("delivery_date").isNull())])),
-        gt0(t.returns.select("order_id").distinct().join(delivered_ids, "order_id", "left_anti")
-            .agg(F.count(F.lit(1)).alias("violations"))
-            .select(F.lit("returns: returns for non-delivered orders").alias("check_name"),
-                    "violations")),
-        named(cust_n, f"customers: expected ≥{min_customers}").withColumn(
-            "passed", c("violations") >= min_customers),
-        named(ord_n, f"orders: expected ≥{min_orders}").withColumn(
-            "passed", c("violations") >= min_orders),
+             n_if(~F.coalesce((c("discount_pct") >= 0) & (c("discount_pct") <= F.lit(max_discount)),
+                              F.lit(False))), None)]),
+        _gate(t.products, [
+            ("products: selling_price must be > 0", n_if(c("selling_price") <= 0), None),
+            ("products: cost_price must be > 0", n_if(c("cost_price") <= 0), None),
+            ("products: rating out of range [1, 5]",
+             n_if(~F.coalesce((c("rating") >= 1) & (c("rating") <= 5), F.lit(False))), None)]),
+        _gate(t.orders_delivery(), [("orders: Delivered orders with null delivery_date",
+                                     n_if((c("status") == "Delivered")
+                                          & c("delivery_date").isNull()), None)]),
+        as_gate(dup_frame(t.customers, "customer_id", "customers: duplicate customer_ids", True)),
+        as_gate(dup_frame(t.orders, "order_id", "orders: duplicate order_ids", True)),
+        as_gate(dup_frame(t.customers, "email", "customers: duplicate emails", True)),
+        as_gate(_orphans(t.orders, "customer_id", t.customers, "customer_id",
+                         "orders: orders with missing customer_id")),
+        as_gate(_orphans(t.order_items, "order_id", t.orders, "order_id",
+                         "order_items: items with missing order_id")),
+        as_gate(t.returns.select("order_id").distinct().join(delivered_ids, "order_id", "left_anti")
+                .agg(F.count(F.lit(1)).alias("violations"))
+                .select(F.lit("returns: returns for non-delivered orders").alias("check_name"),
+                        "violations")),
     ]
-    checks = _union(rows).withColumnRenamed("violations", "observed")
+    checks = _union(rows)
     gate = checks.agg(F.count_if(~c("passed")).cast("long").alias("observed")).select(
         F.lit("quality gate (all checks)").alias("check_name"), "observed",
         (c("observed") == 0).alias("passed"))
