@@ -188,10 +188,12 @@ def product_sales(t: Tables) -> DataFrame:
 
 
 def top_products(t: Tables, n: int = 10) -> DataFrame:
-    """Top ``n`` products by revenue (ties by product_id)."""
+    """Top ``n`` products by revenue (ties by product_id), with a
+    1-based display position (SRT6; the window runs over the n-row result)."""
     s = product_sales(t).orderBy(F.col("_rev").desc(), "product_id").limit(n)
+    pos = F.row_number().over(Window.orderBy(F.col("_rev").desc(), F.col("product_id")))
     return (s.join(t.products.select("product_id", "product_name", "category", "brand"), "product_id")
-            .select("product_id", "product_name", "category", "brand",
+            .select(pos.alias("position"), "product_id", "product_name", "category", "brand",
                     F.col("units_sold").cast("long").alias("units_sold"), rnd("_rev").alias("revenue")))
 
 
@@ -202,7 +204,7 @@ def filter_domains(t: Tables) -> DataFrame:
                      F.year("order_date").cast("string").alias("value"))
     ctry = o.select(F.lit("country").alias("domain"), F.col("country").alias("value"))
     chan = o.select(F.lit("channel").alias("domain"), F.col("channel").alias("value"))
-    return years.unionByName(ctry).unionByName(chan).filter(F.col("value").isNotNull()).distinct()
+    return years.unionByName(ctry).unionByName(chan).na.drop(subset=["value"]).distinct()
 
 
 def chart_series(df: DataFrame, label: str, value: str, sort_key: Column,

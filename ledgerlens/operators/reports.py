@@ -135,9 +135,13 @@ def new_vs_returning(t: Tables) -> DataFrame:
 
 def cohort_matrix(t: Tables, max_offset: int = 12) -> DataFrame:
     """Wide retention matrix, one column m0..m{max_offset} with the
-    fraction (0-1, 4 dp) of the cohort active at that offset."""
-    c = cohort_counts(t, max_offset).withColumn(
-        "_rate", F.col("active_customers") / F.col("cohort_size"))
+    fraction (0-1, 4 dp) of the cohort active at that offset.  The cohort
+    size is FIRST_VALUE over the offsets of the cohort (WIN15; at most
+    max_offset + 1 rows per cohort)."""
+    by_cohort = Window.partitionBy("cohort_month").orderBy("month_offset")
+    c = (cohort_counts(t, max_offset).drop("cohort_size")
+         .withColumn("cohort_size", F.first("active_customers").over(by_cohort))
+         .withColumn("_rate", F.col("active_customers") / F.col("cohort_size")))
     w = (c.groupBy("cohort_month", "cohort_size").pivot("month_offset", list(range(max_offset + 1)))
          .agg(F.first("_rate")))
     return w.select(ym(F.col("cohort_month")).alias("cohort_month"),

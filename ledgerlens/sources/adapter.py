@@ -53,6 +53,13 @@ class Tables:
     def spark(self) -> SparkSession:
         return self.orders.sparkSession
 
+    def register_views(self, prefix: str = "") -> None:
+        """SRC2: expose the logical tables as temporary views for
+        ``spark.sql`` users (``customers``, ``products``, ``orders``,
+        ``order_items``, ``returns``)."""
+        for name in ("customers", "products", "orders", "order_items", "returns"):
+            getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
+
     def orders_geo(self) -> DataFrame:
         """Orders with channel and country (joined on demand)."""
         if "channel" in self.orders.columns and "country" in self.orders.columns:

@@ -69,3 +69,10 @@ def test_read_csv_with_row_label(spark, tmp_dir):
     df = read_csv(spark, path, "c string, m0 double, m1 double", label_col="cohort_month")
     assert df.columns == ["cohort_month", "m0", "m1"]
     assert {r.cohort_month: r.m1 for r in df.collect()} == {"2023-01": 0.5, "2023-02": 0.25}
+
+
+def test_register_views_sql(spark):
+    t = load_tables(spark, SF)
+    t.register_views(prefix="ll_")
+    n = spark.sql("SELECT COUNT(*) AS n FROM ll_orders WHERE status <> 'Cancelled'").collect()[0].n
+    assert n == t.orders.filter("status <> 'Cancelled'").count()
