@@ -10,6 +10,7 @@ as the oracle so results agree to the last rounded digit.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -111,7 +112,8 @@ def churn_features(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180
                     (F.col("recency") > threshold).cast("int").alias("churned"))
 
 
-_MODEL_CACHE: dict = {}
+# Fitted scores per Tables object (weak keys: dropped with the tables).
+_MODEL_CACHE: "weakref.WeakKeyDictionary[Tables, dict]" = weakref.WeakKeyDictionary()
 FEATURES = ("recency", "frequency", "monetary", "avg_order")
 
 
@@ -129,9 +131,10 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    key = (id(t), snapshot, threshold, train_pct, seed, reg_param, drop_recency)
-    if key in _MODEL_CACHE:
-        return _MODEL_CACHE[key]
+    key = (snapshot, threshold, train_pct, seed, reg_param, drop_recency)
+    per_tables = _MODEL_CACHE.setdefault(t, {})
+    if key in per_tables:
+        return per_tables[key]
     s = _customer_stats(t, snapshot).select(
         "customer_id", "recency", F.col("frequency").cast("double").alias("frequency"),
         "monetary", (F.col("monetary") / F.col("frequency")).alias("avg_order"),
@@ -169,7 +172,7 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
     scored = scored.withColumns({
         "predicted": (F.col("churn_probability") >= 0.5).cast("int"),
         "churn_risk": bin_right(F.col("churn_probability"), RISK_EDGES, RISK_LABELS)})
-    _MODEL_CACHE[key] = scored
+    per_tables[key] = scored
     return scored
 
 

@@ -14,14 +14,16 @@ from ledgerlens.operators import sql_patterns as Q
 from ledgerlens.params import TEST as P
 from ledgerlens.sources.adapter import Tables, load_tables
 
-_CACHE: dict[tuple[int, str], Tables] = {}
+_CACHE: dict[str, Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = load_tables(spark, sf_dir)
-    return _CACHE[key]
+    """Logical tables over ``sf_dir`` (lazy frames), rebuilt when the session
+    changes."""
+    cached = _CACHE.get(sf_dir)
+    if cached is None or cached.spark is not spark:
+        cached = _CACHE[sf_dir] = load_tables(spark, sf_dir)
+    return cached
 
 
 def _bind(fn: Callable[..., DataFrame], **kw) -> Callable[[SparkSession, str], DataFrame]:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerlens.sources import schema as S
 
 
-@dataclass
+@dataclass(eq=False)
 class Tables:
     customers: DataFrame
     products: DataFrame
