@@ -127,7 +127,6 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
     model family is fitted by Spark ML (L-BFGS, small L2 penalty, because the
     label is a step of the recency feature and the unpenalised optimum
     diverges).  ``drop_recency`` removes the leaking feature."""
-    from pyspark import StorageLevel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
@@ -148,19 +147,14 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
                         for f in feats])
     z = z.withColumn("is_test", F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(100))
                      >= train_pct)
-    # The optimiser passes over the training rows many times: keep the
-    # customer-level training frame (one row per customer, not per order)
-    # materialised for the duration of the fit only.
+    # The optimiser passes over the training rows many times; Spark ML
+    # persists its (customer-level, one row per customer) input for the fit.
     train = (VectorAssembler(inputCols=[f"z_{f}" for f in feats], outputCol="features")
              .transform(z.filter(~F.col("is_test")))
-             .select("features", "churned")
-             .persist(StorageLevel.MEMORY_AND_DISK))
+             .select("features", "churned"))
     lr = LogisticRegression(featuresCol="features", labelCol="churned", regParam=reg_param,
                             standardization=False, maxIter=200)
-    try:
-        model = lr.fit(train)
-    finally:
-        train.unpersist()
+    model = lr.fit(train)
     coef = model.coefficients.toArray().tolist()
     margin = F.lit(float(model.intercept))
     for f, w in zip(feats, coef):

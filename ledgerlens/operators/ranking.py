@@ -38,9 +38,11 @@ def global_order(df: DataFrame, order_cols: Sequence[Column], value_col: str | N
     otherwise positions among ties are arbitrary, as in SQL.
     """
     spark = df.sparkSession
-    parts = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(parts, *order_cols)
-              .sortWithinPartitions(*order_cols)
+    # Without an explicit count, AQE sizes the range partitioning from the
+    # data; coalesced partitions are still contiguous ranges in order.
+    ranged = (df.repartitionByRange(*order_cols) if num_partitions is None
+              else df.repartitionByRange(int(num_partitions), *order_cols))
+    ranged = (ranged.sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
@@ -50,7 +52,7 @@ def global_order(df: DataFrame, order_cols: Sequence[Column], value_col: str | N
     aggs = [F.count(F.lit(1)).alias("_n")]
     if value_col is not None:
         aggs.append(F.sum(value_col).alias("_v"))
-    per_part = ranged.groupBy("_pid").agg(*aggs)   # at most `parts` rows
+    per_part = ranged.groupBy("_pid").agg(*aggs)   # one row per range partition
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
     cols = [F.col("_pid"),

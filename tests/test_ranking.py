@@ -17,7 +17,7 @@ def _data(spark, n=1200, seed=7):
     return spark.createDataFrame(rows, "id long, k int, v long")
 
 
-@pytest.mark.parametrize("n,parts", [(10, 4), (3, 1), (7, 16), (5, 8)])
+@pytest.mark.parametrize("n,parts", [(10, 4), (3, 1), (7, 16), (5, 8), (10, None)])
 def test_global_ntile_equals_window(spark, n, parts):
     df = _data(spark)
     order = [F.col("k").desc(), F.col("id").asc()]
