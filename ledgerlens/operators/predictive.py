@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.core import (
     bin_right, label_order, month_number, not_cancelled, rnd, sigmoid, ym,
 )
+from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.adapter import Tables
 
 RISK_EDGES = (0.0, 0.3, 0.6, 0.8, 1.0)
@@ -119,7 +120,7 @@ FEATURES = ("recency", "frequency", "monetary", "avg_order")
 
 def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
                  train_pct: int = 80, seed: int = 42, reg_param: float = 0.01,
-                 drop_recency: bool = False) -> DataFrame:
+                 drop_recency: bool = False, rows_per_partition: int = 1_000_000) -> DataFrame:
     """M3: z-scaled features (population std + 1e-8), deterministic hash
     split, Spark ML logistic regression; every customer scored.
 
@@ -130,7 +131,7 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    key = (snapshot, threshold, train_pct, seed, reg_param, drop_recency)
+    key = (snapshot, threshold, train_pct, seed, reg_param, drop_recency, rows_per_partition)
     per_tables = _MODEL_CACHE.setdefault(t, {})
     if key in per_tables:
         return per_tables[key]
@@ -147,11 +148,20 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
                         for f in feats])
     z = z.withColumn("is_test", F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(100))
                      >= train_pct)
-    # The optimiser passes over the training rows many times; Spark ML
-    # persists its (customer-level, one row per customer) input for the fit.
+    # The customer-level features (one row per customer) feed the fit's many
+    # passes and every scored output: write them once to the reliable
+    # checkpoint folder, so the order aggregation runs once and all outputs
+    # score the same frozen features.
+    ensure_checkpoint_dir(t.spark)
+    z = z.checkpoint(eager=True)
+    # One distributed job per optimiser evaluation: size the partitions by
+    # row count (rows_per_partition per task), so task overhead does not
+    # dominate small inputs while large inputs still spread over many tasks.
+    n_train = z.filter(~F.col("is_test")).count()
+    parts = max(1, -(-n_train // rows_per_partition))
     train = (VectorAssembler(inputCols=[f"z_{f}" for f in feats], outputCol="features")
              .transform(z.filter(~F.col("is_test")))
-             .select("features", "churned"))
+             .select("features", "churned").coalesce(parts))
     lr = LogisticRegression(featuresCol="features", labelCol="churned", regParam=reg_param,
                             standardization=False, maxIter=200)
     model = lr.fit(train)
