@@ -52,3 +52,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions are sized so a post-shuffle partition holds about
+    ``target_partition_bytes`` at the start (AQE coalesces from there), and
+    never fewer than two waves of tasks; scans split at the same size.  The
+    checkpoint folder must be shared storage named by the cluster
+    (``spark.checkpoint.dir``), so it is not set here.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
