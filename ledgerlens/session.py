@@ -59,13 +59,14 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     """Session settings for a cluster run over ``input_bytes`` of Parquet.
 
     Shuffle partitions are sized so a post-shuffle partition holds about
-    ``target_partition_bytes`` at the start (AQE coalesces from there), and
-    never fewer than two waves of tasks; scans split at the same size.  The
+    ``target_partition_bytes`` of input at the start (AQE coalesces from
+    there), between two and ten waves of tasks (more reducers only grow the
+    shuffle's block metadata); scans split at the same size.  The
     checkpoint folder must be shared storage named by the cluster
     (``spark.checkpoint.dir``), so it is not set here.
     """
     slots = max(1, executors * cores_per_executor)
-    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    parts = min(10 * slots, max(2 * slots, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -68,6 +68,6 @@ def test_label_order(spark):
 def test_cluster_conf_sizes_partitions():
     from ledgerlens.session import cluster_conf
     c = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=8)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(c["spark.sql.shuffle.partitions"]) == 80000
     small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
