@@ -348,9 +348,9 @@ def market_basket(t: Tables, min_support: float = 0.005, strong: float = 1.2,
              .groupBy("category_A", "category_B").agg(F.sum("w").alias("_co"))
              .withColumn("co_support", F.col("_co") / n)
              .filter(F.col("co_support") >= min_support))
-    # sup has one row per category: bounded by the category domain.
-    sa = F.broadcast(sup.select(F.col("category").alias("category_A"), F.col("_s").alias("s_a")))
-    sb = F.broadcast(sup.select(F.col("category").alias("category_B"), F.col("_s").alias("s_b")))
+    # One row per category; the join strategy is left to AQE's measured size.
+    sa = sup.select(F.col("category").alias("category_A"), F.col("_s").alias("s_a"))
+    sb = sup.select(F.col("category").alias("category_B"), F.col("_s").alias("s_b"))
     j = pairs.join(sa, "category_A").join(sb, "category_B")
     cs = F.col("co_support")
     conf_ab = F.when(F.col("s_a") > 0, cs / F.col("s_a")).otherwise(F.lit(0.0))

@@ -40,7 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; we only
-    create our own (a fresh temp folder) when none is set, as in local tests.
+    create our own (a fresh temp folder) when none is set and the master is
+    local, as in tests.  On a cluster a missing setting is an error: a
+    machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
