@@ -45,10 +45,10 @@ def executive_kpis(t: Tables, years=None, countries=None, channels=None) -> Data
     active products and coupon % in one row.  Without filters the return
     rate is all returns over Delivered orders; with filters, returns of the
     selected Delivered orders over those orders.  Ratios are 0 on an empty
-    selection."""
+    selection.  Dashboard rule: a NULL status counts as not cancelled."""
     filtered = any(x is not None for x in (years, countries, channels))
     o = filtered_orders(t, years, countries, channels)
-    live = F.col("status") != "Cancelled"
+    live = (F.col("status") != "Cancelled") | F.col("status").isNull()
     k = o.agg(
         F.sum(F.when(live, F.col("order_total"))).alias("_rev"),
         F.countDistinct(F.when(live, F.col("order_id"))).alias("orders"),
@@ -57,7 +57,7 @@ def executive_kpis(t: Tables, years=None, countries=None, channels=None) -> Data
         F.count(F.lit(1)).alias("_all"),
         F.count_if(F.col("status") == "Delivered").alias("_deliv"),
         F.avg(F.when(live, F.col("coupon_used"))).alias("_coupon"))
-    units = t.order_items.join(not_cancelled(o).select("order_id"), "order_id", "left_semi") \
+    units = t.order_items.join(not_cancelled(o, "keep").select("order_id"), "order_id", "left_semi") \
         .agg(F.coalesce(F.sum("quantity"), F.lit(0)).cast("long")).scalar()
     if filtered:
         delivered = o.filter(F.col("status") == "Delivered").select("order_id")
@@ -91,9 +91,9 @@ def _zero_filled_monthly(events: DataFrame, date_col: str, value: Column, name:
 
 def monthly_revenue(t: Tables, years=None, countries=None, channels=None) -> DataFrame:
     """K2: zero-filled month-end revenue series with a 'Mon YYYY' label
-    (optionally over the filtered orders)."""
+    (optionally over the filtered orders; NULL status kept, dashboard rule)."""
     o = filtered_orders(t, years, countries, channels)
-    m = _zero_filled_monthly(not_cancelled(o), "order_date", F.sum("order_total"), "_rev")
+    m = _zero_filled_monthly(not_cancelled(o, "keep"), "order_date", F.sum("order_total"), "_rev")
     return m.select("month", rnd("_rev").alias("revenue"), month_label(F.col("month")).alias("month_label"))
 
 
@@ -111,8 +111,8 @@ def revenue_by(t: Tables, dim: str, top: int | None = None, years=None, countrie
                channels=None) -> DataFrame:
     """K4: non-cancelled revenue by ``dim`` (channel, country or
     payment_method), largest first, optionally the top ``top`` and over the
-    filtered orders."""
-    nc = not_cancelled(filtered_orders(t, years, countries, channels))
+    filtered orders (NULL status kept, dashboard rule)."""
+    nc = not_cancelled(filtered_orders(t, years, countries, channels), "keep")
     if dim in nc.columns:
         g = nc.groupBy(dim).agg(F.sum("order_total").alias("_rev"))
     else:
@@ -126,8 +126,9 @@ def revenue_by(t: Tables, dim: str, top: int | None = None, years=None, countrie
 
 
 def payment_mix(t: Tables) -> DataFrame:
-    """K5: distinct non-cancelled orders per payment method."""
-    return (not_cancelled(t.orders).filter(F.col("payment_method").isNotNull())
+    """K5: distinct non-cancelled orders per payment method (NULL status
+    kept, dashboard rule)."""
+    return (not_cancelled(t.orders, "keep").filter(F.col("payment_method").isNotNull())
             .groupBy("payment_method").agg(F.countDistinct("order_id").alias("orders")))
 
 

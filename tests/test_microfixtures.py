@@ -158,7 +158,12 @@ def test_null_status_sql_drops_pandas_keeps(spark):
     orders = [order(1, 1, "2023-01-10", total="100.00"),
               order(2, 1, "2023-01-11", status=None, total="50.00")]
     t = make_tables(spark, orders=orders, customers=[customer(1)])
-    assert K.executive_kpis(t).collect()[0].revenue == 100.0
+    # SQL patterns drop a NULL status ...
+    assert Q.rolling_revenue(t).collect()[0].revenue == 100.0
+    # ... the dashboard and the Python analytics keep it
+    k = K.executive_kpis(t).collect()[0]
+    assert k.revenue == 150.0 and k.orders == 2
+    assert K.monthly_revenue(t).collect()[0].revenue == 150.0
     fc = M.revenue_forecast(t, months=1, base_year=2023).filter("type = 'actual'").collect()
     assert fc[0].revenue == 150.0
 
