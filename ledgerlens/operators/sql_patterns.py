@@ -254,10 +254,11 @@ def weekly_anomaly(t: Tables, k: float = 2.0) -> DataFrame:
 
 
 def next_best_action(t: Tables, snapshot: str = "2025-01-01", silver: float = 5000,
-                     gold: float = 20000, platinum: float = 50000, limit: int = 50,
+                     gold: float = 20000, platinum: float = 50000, limit: int | None = 50,
                      min_inactive: int = 90) -> DataFrame:
     """Q10: inactive (> min_inactive days) customers with totals, action and
-    value tier; top ``limit`` by lifetime value (ties by customer_id).
+    value tier; top ``limit`` by lifetime value (ties by customer_id), or
+    all of them with ``limit=None``.
 
     Orders are aggregated per customer before the customer join."""
     per = (not_cancelled(t.orders).groupBy("customer_id").agg(
@@ -276,11 +277,10 @@ def next_best_action(t: Tables, snapshot: str = "2025-01-01", silver: float = 50
     v = F.col("ltv")
     tier = (F.when(v >= platinum, "Platinum").when(v >= gold, "Gold")
             .when(v >= silver, "Silver").otherwise("Bronze"))
-    return (per.join(cust, "customer_id")
-            .withColumn("days_inactive", inactive)
-            .filter(d > min_inactive)
-            .orderBy(F.col("ltv").desc(), F.col("customer_id").asc())
-            .limit(limit)
+    out = per.join(cust, "customer_id").withColumn("days_inactive", inactive).filter(d > min_inactive)
+    if limit is not None:
+        out = out.orderBy(F.col("ltv").desc(), F.col("customer_id").asc()).limit(limit)
+    return (out
             .select("customer_id", "name", "email", "city", "country",
                     F.col("total_orders").cast("long").alias("total_orders"),
                     rnd("ltv").alias("lifetime_value"), "last_order_date", "days_inactive",
