@@ -57,6 +57,8 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
     start = dt.datetime(2000, 11, 20)
     for k in range(1, 161):
         cust_k = 1 + (k * 7) % 40
+        if cust_k == 40:
+            cust_k = 39
         if k == 13:
             cust_k = None                  # NULL customer
         if k == 14:
@@ -72,6 +74,20 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
         o["o_totalprice"].append(round(1000 + (k * 37.13) % 5000, 2))
         o["o_orderdate"].append(day)
         o["o_orderpriority"].append(prios[k % 5])
+    # a customer whose only order has no total (NULL money, NULL sort keys)
+    o["o_orderkey"].append(161)
+    o["o_custkey"].append(40)
+    o["o_orderstatus"].append("F")
+    o["o_totalprice"].append(None)
+    o["o_orderdate"].append(start + dt.timedelta(days=30))
+    o["o_orderpriority"].append("1-URGENT")
+    # an order without a date (lines included)
+    o["o_orderkey"].append(162)
+    o["o_custkey"].append(38)
+    o["o_orderstatus"].append("O")
+    o["o_totalprice"].append(777.77)
+    o["o_orderdate"].append(None)
+    o["o_orderpriority"].append("5-LOW")
     orders = pa.table({"o_orderkey": pa.array(o["o_orderkey"], pa.int64()),
                        "o_custkey": pa.array(o["o_custkey"], pa.int64()),
                        "o_orderstatus": o["o_orderstatus"], "o_totalprice": o["o_totalprice"],
@@ -99,7 +115,8 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
             li["l_returnflag"].append("R" if (k + ln) % 3 == 0 else "N")
             li["l_linestatus"].append("F" if ln % 2 else "O")
             li["l_shipdate"].append(start + dt.timedelta(days=(k * 5) % 420 + ln * 3 - 4))
-    extra = [(5, 3, 1), (5, 3, 2), (300, 4, 1), (6, 77, 1)]  # duplicate line, dangling order, part
+    # duplicate line, dangling order, dangling part, lines of the undated order
+    extra = [(5, 3, 1), (5, 3, 2), (300, 4, 1), (6, 77, 1), (162, 2, 1), (162, 9, 2)]
     for ok, pk, ln in extra:
         li["l_orderkey"].append(ok)
         li["l_partkey"].append(pk)
