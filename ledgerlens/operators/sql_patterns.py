@@ -153,20 +153,23 @@ def category_affinity(t: Tables, min_count: int = 50) -> DataFrame:
 
     A pair (c1, c2) occurs in an order iff the lowest product id of c1 is
     below the highest product id of c2 there, so each order is first reduced
-    to one row per category (min and max product id).  The self-join then
-    pairs at most (#categories)^2 rows per order instead of all product
-    pairs, and a huge order cannot blow up.
+    to one row per category (min and max product id, partially aggregated),
+    then to one row holding that short list (at most the number of
+    categories, however large the order).  Pairs are formed inside that row,
+    so the product self-join of the SQL (and its sort-merge) is not needed
+    and a huge order cannot blow up.
     """
     items = _items_in_live_orders(t).select("order_id", "product_id")
     cat = t.products.select("product_id", "category")
     per_cat = (items.join(cat, "product_id")
                .groupBy("order_id", "category")
                .agg(F.min("product_id").alias("lo"), F.max("product_id").alias("hi")))
-    a = per_cat.select("order_id", F.col("category").alias("category_1"), F.col("lo").alias("lo1"))
-    b = per_cat.select("order_id", F.col("category").alias("category_2"), F.col("hi").alias("hi2"))
-    pairs = (a.join(b, "order_id")
-             .filter((F.col("category_1") != F.col("category_2")) & (F.col("lo1") < F.col("hi2")))
-             .groupBy("category_1", "category_2")
+    per_order = per_cat.groupBy("order_id").agg(
+        F.collect_list(F.struct("category", "lo", "hi")).alias("cats"))
+    pairs = (per_order.select(F.explode("cats").alias("a"), "cats")
+             .select("a", F.explode("cats").alias("b"))
+             .filter((F.col("a.category") != F.col("b.category")) & (F.col("a.lo") < F.col("b.hi")))
+             .groupBy(F.col("a.category").alias("category_1"), F.col("b.category").alias("category_2"))
              .agg(F.count(F.lit(1)).alias("co_occurrences"))
              .filter(F.col("co_occurrences") >= min_count))
     n_orders = not_cancelled(t.orders).agg(F.countDistinct("order_id")).scalar()

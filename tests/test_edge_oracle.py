@@ -30,3 +30,15 @@ def con(edge_dir):
 def test_edge_query_matches_oracle(spark, con, edge_dir, name):
     status, msg = compare(spark, con, edge_dir, name, _QUERIES[name], _SQL.get(name))
     assert status != "FAIL", msg
+
+
+def test_edge_affinity_low_threshold(spark, con, edge_dir):
+    from ledgerlens.operators.sql_patterns import category_affinity
+    from ledgerlens.params import TEST as P
+    from ledgerlens.sources.adapter import load_tables
+    sql = _SQL["category_affinity"].replace(f">= {P['affinity_min']}", ">= 1")
+    assert sql != _SQL["category_affinity"]
+    status, msg = compare(spark, con, edge_dir, "category_affinity_min1",
+                          lambda s, d: category_affinity(load_tables(s, d), min_count=1), sql)
+    assert status == "OK", msg
+    assert int(msg.split()[0]) > 0
