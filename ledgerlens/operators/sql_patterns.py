@@ -120,7 +120,10 @@ def customer_journey(t: Tables, skew_safe="auto") -> DataFrame:
         first = ~F.col("lag1_same")
         second = F.col("lag1_same") & ~F.col("lag2_same")
         last = ~F.col("lead1_same")
-        picked = rows.filter(first | second | last).join(bounds, "customer_id")
+        # null-safe: NULL customers form one sequence, as in PARTITION BY
+        b = bounds.withColumnRenamed("customer_id", "_bk")
+        picked = (rows.filter(first | second | last)
+                  .join(b, F.col("customer_id").eqNullSafe(F.col("_bk"))).drop("_bk"))
         return picked.select(
             "customer_id", "order_id", "order_date", rnd("order_total").alias("order_total"),
             (F.col("_rank") - F.col("_first") + 1).cast("long").alias("order_rank"),
