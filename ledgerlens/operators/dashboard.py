@@ -17,6 +17,7 @@ from ledgerlens.functions.core import bin_right, label_order, month_label, not_c
 from ledgerlens.operators.ranking import month_spine
 from ledgerlens.sources.adapter import Tables
 
+# Fixed values of the reference: stock bands and their labels.
 STOCK_EDGES = (-1, 0, 10, 50, 9999999)
 STOCK_LABELS = ("Out of Stock", "Critical", "Low Stock", "Healthy")
 

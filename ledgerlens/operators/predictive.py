@@ -22,6 +22,8 @@ from ledgerlens.functions.core import (
 from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.adapter import Tables
 
+# Fixed values of the reference: risk, CLV-tier and discount-band bins and
+# their labels.
 RISK_EDGES = (0.0, 0.3, 0.6, 0.8, 1.0)
 RISK_LABELS = ("Low", "Medium", "High", "Critical")
 CLV_LABELS = ("Bronze", "Silver", "Gold", "Platinum")
