@@ -200,13 +200,15 @@ def top_products(t: Tables, n: int = 10) -> DataFrame:
 
 
 def filter_domains(t: Tables) -> DataFrame:
-    """The selectable years, countries and channels (long form)."""
+    """The selectable years, countries and channels (long form): one
+    pass over the orders, one distinct (its output is bounded by the three
+    domains)."""
     o = t.orders_geo()
-    years = o.select(F.lit("year").alias("domain"),
-                     F.year("order_date").cast("string").alias("value"))
-    ctry = o.select(F.lit("country").alias("domain"), F.col("country").alias("value"))
-    chan = o.select(F.lit("channel").alias("domain"), F.col("channel").alias("value"))
-    return years.unionByName(ctry).unionByName(chan).na.drop(subset=["value"]).distinct()
+    pairs = F.array(
+        F.struct(F.lit("year").alias("domain"), F.year("order_date").cast("string").alias("value")),
+        F.struct(F.lit("country").alias("domain"), F.col("country").alias("value")),
+        F.struct(F.lit("channel").alias("domain"), F.col("channel").alias("value")))
+    return o.select(F.inline(pairs)).na.drop(subset=["value"]).distinct()
 
 
 def chart_series(df: DataFrame, label: str, value: str, sort_key: Column,

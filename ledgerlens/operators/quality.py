@@ -179,16 +179,30 @@ def order_value_outliers(t: Tables, k: float = 3.0) -> DataFrame:
 def completeness_summary(t: Tables) -> DataFrame:
     """Long form ``table_name, column_name, total_rows, null_count``
     (the reference's positional union mislabels the customer columns)."""
-    def one(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
+    def one(df: DataFrame, table: str, cols: Sequence[str], extra=None) -> DataFrame:
         row = df.agg(F.count(F.lit(1)).alias("_total"),
-                     *[F.count_if(F.col(x).isNull()).alias(f"_n{i}") for i, x in enumerate(cols)])
+                     *[F.count_if(F.col(x).isNull()).alias(f"_n{i}") for i, x in enumerate(cols)
+                       if x not in (extra or {})])
+        for i, x in enumerate(cols):
+            if x in (extra or {}):
+                row = row.withColumn(f"_n{i}", extra[x])
         pairs = [F.struct(F.lit(table).alias("table_name"), F.lit(x).alias("column_name"),
                           F.col("_total").alias("total_rows"),
                           F.col(f"_n{i}").cast("long").alias("null_count"))
                  for i, x in enumerate(cols)]
         return row.select(F.inline(F.array(*pairs)))
+    orders = t.orders
+    extra = None
+    if "channel" not in orders.columns:
+        # channel lives on the customer: count orders per customer first and
+        # join the (one row per customer) counts, not every order.
+        per_c = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_o"))
+        null_channel = (per_c.join(t.customer_geo, "customer_id", "left")
+                        .agg(F.coalesce(F.sum(F.when(F.col("channel").isNull(), F.col("_o"))),
+                                        F.lit(0))).scalar())
+        extra = {"channel": null_channel}
     return _union([
-        one(t.orders_geo(), "orders", ["status", "order_total", "payment_method", "channel"]),
+        one(orders, "orders", ["status", "order_total", "payment_method", "channel"], extra),
         one(t.customers, "customers", ["city", "country", "gender", "age_group"]),
     ])
 

@@ -11,7 +11,8 @@ Mapping (ours, fixed so that the DuckDB oracle can repeat it exactly):
   ``o_orderpriority < '3'`` else Shipped; payment_method = o_orderpriority;
   order_total = o_totalprice as DECIMAL(18,2); coupon_used = o_orderkey % 2.
   channel (c_mktsegment) and country (region name) come from the customer,
-  and are joined only by the operators that need them (``orders_geo``).
+  and are joined only by the operators that need them (``orders_geo``),
+  from a lookup with one row per customer id.
 * order_items: quantity = l_quantity, unit_price = extendedprice / quantity,
   discount_pct = l_discount as DECIMAL(5,4),
   line_total = extendedprice as DECIMAL(18,2) * (1 - discount_pct).
@@ -114,8 +115,11 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.col("c_mktsegment").alias("age_group"),
         (F.col("c_custkey") % 3).cast("string").alias("gender"),
     )
-    customer_geo = customers.select(
-        "customer_id", F.col("age_group").alias("channel"), "country")
+    # One row per customer id (deterministic min on a duplicated id), so
+    # joining it never multiplies orders; hash-partitioned on customer_id,
+    # which is what the join needs anyway.
+    customer_geo = customers.groupBy("customer_id").agg(
+        F.min("age_group").alias("channel"), F.min("country").alias("country"))
 
     o = rd("orders")
     orders = o.select(
