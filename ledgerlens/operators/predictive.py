@@ -47,7 +47,7 @@ def seasonality_index(t: Tables) -> DataFrame:
     d = not_cancelled(t.orders, "keep")
     per = d.groupBy(F.month("order_date").alias("cal_month")).agg(
         F.sum("order_total").cast("double").alias("_s"))
-    return per.select("cal_month", (F.col("_s") / F.avg("_s").over(Window.partitionBy()))
+    return per.select("cal_month", F.try_divide(F.col("_s"), F.avg("_s").over(Window.partitionBy()))
                       .alias("season_index"))
 
 
@@ -111,7 +111,7 @@ def churn_features(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180
     s = _customer_stats(t, snapshot)
     return s.select("customer_id", "recency", F.col("frequency").cast("long").alias("frequency"),
                     rnd("monetary_dec").alias("monetary"), "last_order",
-                    rnd(F.col("monetary") / F.col("frequency")).alias("avg_order"),
+                    rnd(F.try_divide(F.col("monetary"), F.col("frequency"))).alias("avg_order"),
                     (F.col("recency") > threshold).cast("int").alias("churned"))
 
 
@@ -139,7 +139,7 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
         return per_tables[key]
     s = _customer_stats(t, snapshot).select(
         "customer_id", "recency", F.col("frequency").cast("double").alias("frequency"),
-        "monetary", (F.col("monetary") / F.col("frequency")).alias("avg_order"),
+        "monetary", F.try_divide(F.col("monetary"), F.col("frequency")).alias("avg_order"),
         (F.col("recency") > threshold).cast("int").alias("churned"))
     feats = [f for f in FEATURES if not (drop_recency and f == "recency")]
     s = s.na.fill(0, subset=feats)
@@ -371,7 +371,7 @@ def clv_stats(t: Tables, snapshot: str = "2025-01-01",
               tiers: Sequence[float] = (5000, 20000, 50000)) -> DataFrame:
     s = _customer_stats(t, snapshot)
     tenure = F.greatest(F.datediff("last_order", "first_order"), F.lit(1))
-    avg_order = F.col("monetary") / F.col("frequency")
+    avg_order = F.try_divide(F.col("monetary"), F.col("frequency"))
     rate = F.col("frequency") / (F.col("tenure_days") / F.lit(30.0))
     ret = F.least(F.greatest(F.lit(1.0) - F.col("recency") / F.lit(730.0), F.lit(0.05)), F.lit(0.99))
     pred = F.greatest(F.col("purchase_rate") * F.lit(12.0) * F.col("retention_prob"), F.lit(0.1))

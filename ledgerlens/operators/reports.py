@@ -53,7 +53,8 @@ def _per_customer(t: Tables) -> DataFrame:
 
 def _share(df: DataFrame, col: str = "_rev") -> DataFrame:
     # df is a small aggregated frame (one row per dimension value)
-    return df.withColumn("share_pct", rnd(F.col(col) * 100 / F.sum(col).over(Window.partitionBy())))
+    return df.withColumn("share_pct",
+                         rnd(F.try_divide(F.col(col) * 100, F.sum(col).over(Window.partitionBy()))))
 
 
 def channel_performance(t: Tables) -> DataFrame:

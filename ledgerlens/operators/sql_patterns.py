@@ -97,7 +97,7 @@ def customer_deciles(t: Tables, n: int = 10) -> DataFrame:
     return per.select(
         "decile", "customers", rnd("min_ltv").alias("min_ltv"), rnd("max_ltv").alias("max_ltv"),
         rnd("avg_ltv").alias("avg_ltv"), rnd("total_ltv").alias("total_ltv"),
-        rnd(F.col("total_ltv") * 100 / grand).alias("pct_total_revenue"))
+        rnd(F.try_divide(F.col("total_ltv") * 100, grand)).alias("pct_total_revenue"))
 
 
 def customer_journey(t: Tables, skew_safe="auto") -> DataFrame:
@@ -211,7 +211,7 @@ def abc_classification(t: Tables, a: float = 0.80, b: float = 0.95,
     grand = F.sum("total_revenue").over(Window.partitionBy())  # <= 3 rows
     return per.select("abc_class", "products", rnd("total_revenue").alias("total_revenue"),
                       rnd("avg_revenue").alias("avg_revenue"),
-                      rnd(F.col("total_revenue") * 100 / grand).alias("revenue_share_pct"))
+                      rnd(F.try_divide(F.col("total_revenue") * 100, grand)).alias("revenue_share_pct"))
 
 
 def cohort_counts(t: Tables, max_offset: int = 12) -> DataFrame:

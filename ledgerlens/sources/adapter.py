@@ -13,7 +13,8 @@ Mapping (ours, fixed so that the DuckDB oracle can repeat it exactly):
   channel (c_mktsegment) and country (region name) come from the customer,
   and are joined only by the operators that need them (``orders_geo``),
   from a lookup with one row per customer id.
-* order_items: quantity = l_quantity, unit_price = extendedprice / quantity,
+* order_items: quantity = l_quantity, unit_price = extendedprice / quantity
+  (NULL for a zero quantity),
   discount_pct = l_discount as DECIMAL(5,4),
   line_total = extendedprice as DECIMAL(18,2) * (1 - discount_pct).
 * products: category = p_type, brand = p_brand, selling_price = p_retailprice,
@@ -138,7 +139,7 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
         F.col("l_discount").cast("decimal(5,4)").alias("discount_pct"),
         line_total(F.col("l_extendedprice"), F.col("l_discount")).alias("line_total"),
     )

@@ -88,6 +88,13 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
     o["o_totalprice"].append(777.77)
     o["o_orderdate"].append(None)
     o["o_orderpriority"].append("5-LOW")
+    # an order without a key, the only order of customer 41
+    o["o_orderkey"].append(None)
+    o["o_custkey"].append(41)
+    o["o_orderstatus"].append("F")
+    o["o_totalprice"].append(500.0)
+    o["o_orderdate"].append(start + dt.timedelta(days=60))
+    o["o_orderpriority"].append("2-HIGH")
     orders = pa.table({"o_orderkey": pa.array(o["o_orderkey"], pa.int64()),
                        "o_custkey": pa.array(o["o_custkey"], pa.int64()),
                        "o_orderstatus": o["o_orderstatus"], "o_totalprice": o["o_totalprice"],
@@ -116,13 +123,15 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
             li["l_linestatus"].append("F" if ln % 2 else "O")
             li["l_shipdate"].append(start + dt.timedelta(days=(k * 5) % 420 + ln * 3 - 4))
     # duplicate line, dangling order, dangling part, lines of the undated order
-    extra = [(5, 3, 1), (5, 3, 2), (300, 4, 1), (6, 77, 1), (162, 2, 1), (162, 9, 2)]
+    extra = [(5, 3, 1), (5, 3, 2), (300, 4, 1), (6, 77, 1), (162, 2, 1), (162, 9, 2),
+             (7, 5, 3), (8, 6, 3)]
     for ok, pk, ln in extra:
         li["l_orderkey"].append(ok)
         li["l_partkey"].append(pk)
         li["l_suppkey"].append(1)
         li["l_linenumber"].append(ln)
-        li["l_quantity"].append(48.0)
+        # a zero and a missing quantity on the last two lines
+        li["l_quantity"].append({7: 0.0, 8: None}.get(ok, 48.0) if ln == 3 else 48.0)
         li["l_extendedprice"].append(48 * 910.0)
         li["l_discount"].append(0.04)
         li["l_tax"].append(0.0)
