@@ -141,9 +141,11 @@ def rnd(c: Column | str, places: int = 2) -> Column:
     """Round half-up to ``places`` and return double.
 
     The value first goes through DECIMAL(38,6), so doubles and decimals are
-    rounded the same way (exact half-up on the decimal digits)."""
+    rounded the same way (exact half-up on the decimal digits).  A value that
+    has no decimal form (NaN, infinity, overflow) becomes NULL instead of
+    failing the job under ANSI casts."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("decimal(38,6)"), places).cast("double")
+    return F.round(c.try_cast("decimal(38,6)"), places).cast("double")
 
 
 __all__.append("rnd")

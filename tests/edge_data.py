@@ -88,6 +88,13 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
     o["o_totalprice"].append(777.77)
     o["o_orderdate"].append(None)
     o["o_orderpriority"].append("5-LOW")
+    # an order whose total is not a number
+    o["o_orderkey"].append(163)
+    o["o_custkey"].append(37)
+    o["o_orderstatus"].append("F")
+    o["o_totalprice"].append(float("nan"))
+    o["o_orderdate"].append(start + dt.timedelta(days=90))
+    o["o_orderpriority"].append("3-MEDIUM")
     # an order without a key, the only order of customer 41
     o["o_orderkey"].append(None)
     o["o_custkey"].append(41)
@@ -132,7 +139,7 @@ def write_edge_tables(out_dir: str, seed: int = 11) -> None:
         li["l_linenumber"].append(ln)
         # a zero and a missing quantity on the last two lines
         li["l_quantity"].append({7: 0.0, 8: None}.get(ok, 48.0) if ln == 3 else 48.0)
-        li["l_extendedprice"].append(48 * 910.0)
+        li["l_extendedprice"].append(float("nan") if ok == 6 else 48 * 910.0)
         li["l_discount"].append(0.04)
         li["l_tax"].append(0.0)
         li["l_returnflag"].append("R")
