@@ -62,3 +62,20 @@ def test_decile_shares_sum_to_100(t):
     rows = Q.customer_deciles(t).collect()
     assert len(rows) == 10 and abs(sum(r.pct_total_revenue for r in rows) - 100) < 0.06
     assert sum(r.customers for r in rows) == 1497
+
+
+def test_orphans_against_reduced_dimensions(t):
+    import dataclasses
+
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators import quality as Dq
+    reduced = dataclasses.replace(
+        t, customers=t.customers.filter(F.col("customer_id") % 2 == 0),
+        products=t.products.filter(F.col("product_id") % 3 != 0))
+    got = {r.check_name: r.violations for r in Dq.referential_checks(reduced).collect()}
+    exp_orders = t.orders.filter(F.col("customer_id") % 2 != 0).count()
+    exp_items = t.order_items.filter(F.col("product_id") % 3 == 0).count()
+    assert got["orders → customers (orphan orders)"] == exp_orders > 0
+    assert got["order_items → products (missing products)"] == exp_items > 0
+    assert got["order_items → orders (orphan items)"] == 0
