@@ -213,14 +213,18 @@ def filter_domains(t: Tables) -> DataFrame:
 
 def chart_series(df: DataFrame, label: str, value: str, sort_key: Column,
                  scale: float = 1e6, places: int = 2) -> DataFrame:
-    """K18 / SNK3: ordered label and value arrays (value / scale, rounded)
-    from an already aggregated frame."""
+    """K18 / SNK3: ordered label and value series as JSON text (value /
+    scale, rounded half-up to ``places``), from an already aggregated frame
+    whose size is bounded by its dimension (channels, months, top-k).
+    Values are DECIMAL in the JSON, so they print in plain notation."""
     s = df.select(F.struct(sort_key.alias("k"), F.col(label).alias("l"),
                            F.col(value).alias("v")).alias("s"))
     a = s.agg(F.array_sort(F.collect_list("s")).alias("a"))
-    return a.select(F.transform("a", lambda x: x["l"]).alias("labels"),
-                    F.transform("a", lambda x: F.round((x["v"] / F.lit(scale)).cast("decimal(38,6)"),
-                                                       places).cast("double")).alias("values"))
+    dec = f"decimal(38,{places})"
+    return a.select(
+        F.to_json(F.transform("a", lambda x: x["l"])).alias("labels"),
+        F.to_json(F.transform("a", lambda x: F.round(
+            (x["v"] / F.lit(scale)).try_cast("decimal(38,6)"), places).cast(dec))).alias("values"))
 
 
 def chart_channel_revenue(t: Tables) -> DataFrame:

@@ -205,7 +205,7 @@ def test_chart_series_order_and_scale(spark):
                                "name string, revenue double")
     r = K.chart_series(df, "name", "revenue",
                        F.struct(-F.col("revenue"), F.col("name"))).collect()[0]
-    assert r.labels == ["b", "a", "c"] and r.values == [2.0, 1.5, 1.5]
+    assert r.labels == '["b","a","c"]' and r.values == "[2.00,1.50,1.50]"
 
 
 def test_filters_empty_selection_is_empty(spark):
