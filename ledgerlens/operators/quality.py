@@ -25,9 +25,13 @@ VALID_STATUSES = ("Delivered", "Shipped", "Processing", "Cancelled")
 
 
 def fused_counts(df: DataFrame, checks: Sequence[tuple[str, Column]],
-                 name_col: str = "check_name", value_col: str = "violations") -> DataFrame:
-    """One pass over ``df``: ``count_if(cond)`` per check, as long rows."""
-    row = df.agg(*[F.count_if(cond).alias(f"_c{i}") for i, (_, cond) in enumerate(checks)])
+                 name_col: str = "check_name", value_col: str = "violations",
+                 agg: bool = False) -> DataFrame:
+    """One pass over ``df``: ``count_if(cond)`` per check (or, with
+    ``agg=True``, checks that are already aggregate expressions), as long
+    rows."""
+    row = df.agg(*[(expr if agg else F.count_if(expr)).alias(f"_c{i}")
+                   for i, (_, expr) in enumerate(checks)])
     pairs = [F.struct(F.lit(name).alias(name_col), F.col(f"_c{i}").cast("long").alias(value_col))
              for i, (name, _) in enumerate(checks)]
     return row.select(F.inline(F.array(*pairs)))
@@ -40,19 +44,15 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def dup_frame(df: DataFrame, key: str, name: str, pandas_rule: bool = False) -> DataFrame:
-    """``check_name, violations`` for duplicates of ``key``.
-
-    SQL rule: rows - distinct non-null keys (each NULL counts).
-    pandas ``duplicated()`` rule: NULLs equal each other, so the first NULL
-    is not a duplicate."""
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+def dup_count(key: str, pandas_rule: bool = False) -> Column:
+    """Aggregate expression for duplicates of ``key``, to fuse with the other
+    checks of the same table: SQL rule ``COUNT(*) - COUNT(DISTINCT key)``
+    (each NULL counts); pandas ``duplicated()`` rule additionally treats the
+    first NULL as not duplicated."""
+    out = F.count(F.lit(1)) - F.countDistinct(F.col(key))
     if pandas_rule:
-        extra = F.col("_n") - 1
-    else:
-        extra = F.when(F.col(key).isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
-    return per.agg(F.coalesce(F.sum(extra), F.lit(0)).cast("long").alias("violations")) \
-        .select(F.lit(name).alias("check_name"), "violations")
+        out = out - F.max(F.col(key).isNull().cast("int"))
+    return out
 
 
 def row_counts(t: Tables) -> DataFrame:
@@ -81,12 +81,14 @@ def null_checks(t: Tables) -> DataFrame:
 
 
 def uniqueness_checks(t: Tables) -> DataFrame:
-    """D3: duplicate counts (SQL rule: every NULL counts)."""
+    """D3: duplicate counts (SQL rule: every NULL counts); both customer
+    keys in one aggregate over customers."""
     return _union([
-        dup_frame(t.customers, "customer_id", "customers - duplicate customer_id"),
-        dup_frame(t.customers, "email", "customers - duplicate email"),
-        dup_frame(t.products, "product_id", "products - duplicate product_id"),
-        dup_frame(t.orders, "order_id", "orders - duplicate order_id"),
+        fused_counts(t.customers, [("customers - duplicate customer_id", dup_count("customer_id")),
+                                   ("customers - duplicate email", dup_count("email"))], agg=True),
+        fused_counts(t.products, [("products - duplicate product_id", dup_count("product_id"))],
+                     agg=True),
+        fused_counts(t.orders, [("orders - duplicate order_id", dup_count("order_id"))], agg=True),
     ])
 
 
@@ -221,14 +223,15 @@ def quality_score(t: Tables) -> DataFrame:
     c = F.col
     o = t.orders_delivery()
     frames = [
-        fused_counts(t.customers, [("null customer_id", c("customer_id").isNull())]),
-        dup_frame(t.customers, "customer_id", "duplicate customer_id"),
-        dup_frame(t.orders, "order_id", "duplicate order_id"),
-        fused_counts(o, [("negative order_total", c("order_total") < 0),
+        fused_counts(t.customers, [("null customer_id", F.count_if(c("customer_id").isNull())),
+                                   ("duplicate customer_id", dup_count("customer_id"))], agg=True),
+        fused_counts(o, [("duplicate order_id", dup_count("order_id")),
+                         ("negative order_total", F.count_if(c("order_total") < 0)),
                          ("delivered without date",
-                          (c("status") == "Delivered") & c("delivery_date").isNull()),
+                          F.count_if((c("status") == "Delivered") & c("delivery_date").isNull())),
                          ("delivery before order",
-                          c("delivery_date").isNotNull() & (c("delivery_date") < c("order_date")))]),
+                          F.count_if(c("delivery_date").isNotNull()
+                                     & (c("delivery_date") < c("order_date"))))], agg=True),
         fused_counts(t.order_items, [("quantity <= 0", c("quantity") <= 0)]),
         fused_counts(t.products, [("selling_price <= 0", c("selling_price") <= 0)]),
     ]
@@ -276,8 +279,11 @@ def quality_gate(t: Tables, max_discount: float = 0.20, min_customers: int = 100
 
     rows = [
         _gate(t.customers, [("customers: null customer_id", n_if(c("customer_id").isNull()), None),
+                            ("customers: duplicate customer_ids", dup_count("customer_id", True), None),
+                            ("customers: duplicate emails", dup_count("email", True), None),
                             (f"customers: expected ≥{min_customers}", everything, min_customers)]),
         _gate(t.orders, [("orders: null order_id", n_if(c("order_id").isNull()), None),
+                         ("orders: duplicate order_ids", dup_count("order_id", True), None),
                          ("orders: invalid status",
                           n_if(~F.coalesce(c("status").isin(*VALID_STATUSES), F.lit(False))), None),
                          (f"orders: expected ≥{min_orders}", everything, min_orders)]),
@@ -296,9 +302,6 @@ def quality_gate(t: Tables, max_discount: float = 0.20, min_customers: int = 100
         _gate(t.orders_delivery(), [("orders: Delivered orders with null delivery_date",
                                      n_if((c("status") == "Delivered")
                                           & c("delivery_date").isNull()), None)]),
-        as_gate(dup_frame(t.customers, "customer_id", "customers: duplicate customer_ids", True)),
-        as_gate(dup_frame(t.orders, "order_id", "orders: duplicate order_ids", True)),
-        as_gate(dup_frame(t.customers, "email", "customers: duplicate emails", True)),
         as_gate(_orphans(t.orders, "customer_id", t.customers, "customer_id",
                          "orders: orders with missing customer_id")),
         as_gate(_orphans(t.order_items, "order_id", t.orders, "order_id",
