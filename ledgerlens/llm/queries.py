@@ -6,10 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import signature_join
+import public_tokenizers
+from ledgerlens.llm import fertility, gam_quality, packing, signature_join
 from ledgerlens.llm.common import read_table
 
 
+def op2_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in sequences of at most 2048 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        size=2048, end_id=0)
+
+
+def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and fertility rules of ``documents``."""
+    return fertility.apply_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of ``documents`` as ``labels.quality`` marks it."""
+    return gam_quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                     threshold=0.7)
+
+
 def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents``: five words, similarity 0.75 or more."""
     out = signature_join.near_duplicates(read_table(spark, sf_dir, "documents"), width=5, percent=75)
@@ -18,7 +36,7 @@ def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op7_signature_trees,
+        op2_residual_packing, op3_tokeniser_fertility, op5_additive_quality, op7_signature_trees,
     )}
 
 

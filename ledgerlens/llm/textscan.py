@@ -128,3 +128,79 @@ def slices(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, in
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, across its tasks."""
     return sys.modules.setdefault("ledgerlens_worker", types.ModuleType("ledgerlens_worker")).__dict__
+
+
+def per_text(texts: Texts, where: np.ndarray) -> np.ndarray:
+    """How many of the sorted byte positions ``where`` lie in each text."""
+    return np.diff(np.searchsorted(where, texts.at))
+
+
+def repeats(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each element: how often its hash occurs in its text, and whether
+    this is the first place."""
+    keyed = mix(hashes + owner.astype(np.uint64) * _STEP)
+    _, first, inverse, count = np.unique(keyed, return_index=True, return_inverse=True, return_counts=True)
+    is_first = np.zeros(len(hashes), bool)
+    is_first[first] = True
+    return count[inverse], is_first
+
+
+def base_counts(texts: Texts, words: Words, hashes: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts of each text, from its words and their (case-kept) hashes.
+
+    n_words; word_chars (code points in words); n_symbols (``#*$%&|<>``);
+    n_dup_lines (lines with a word that equal an earlier line); n_repeat_words
+    (words in 3-word windows found twice or more in the text).
+    """
+    n = len(texts.at) - 1
+    data = texts.data
+    owner = words.text_of()
+    solid = ~_SPACE[data]
+    out = {"n_words": np.diff(words.of),
+           "word_chars": per_text(texts, np.flatnonzero(solid & ((data & 0xC0) != 0x80))),
+           "n_symbols": per_text(texts, np.flatnonzero(_SYMBOL[data]))}
+    # Lines, from cuts at line feeds and text ends.
+    feeds = np.flatnonzero(data == 10)
+    begin = np.sort(np.concatenate((texts.at[:-1], feeds + 1)), kind="stable")
+    end = np.sort(np.concatenate((feeds, texts.at[1:])), kind="stable")
+    has_word = np.searchsorted(words.begin, begin) < np.searchsorted(words.begin, end)
+    begin, end = begin[has_word], end[has_word]
+    line_owner = np.searchsorted(texts.at, begin, side="right") - 1
+    _, first = repeats(line_owner, span_hashes(data, begin, end))
+    out["n_lines"] = np.bincount(line_owner, minlength=n)
+    out["n_dup_lines"] = np.bincount(line_owner[~first], minlength=n)
+    # Windows of three words inside one text.
+    runs = windows(hashes, 3)
+    inside = owner[:-2] == owner[2:] if len(hashes) >= 3 else np.zeros(0, bool)
+    twice = np.zeros(len(runs), bool)
+    times, _ = repeats(owner[:-2][inside], runs[inside]) if len(runs) else (np.zeros(0), None)
+    twice[inside] = times >= 2
+    cover = np.zeros(len(hashes), bool)
+    for k in range(3):
+        cover[k: k + len(twice)] |= twice
+    out["n_repeat_words"] = np.bincount(owner[cover], minlength=n)
+    return out
+
+
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[list(b"#*$%&|<>")] = True
+_END_SPACE = np.array([0x80 + k for k in range(11)] + [0xA8, 0xA9, 0xAF], np.uint8)
+
+
+def units(texts: Texts) -> Words:
+    """Spans of white space with the word after it, covering the texts.
+
+    Byte-level pre-tokenisers look across no end of such a span, so spans can
+    be encoded one by one.  A word that ends in a wider kind of white space
+    is left together with the next span, as there they would look across.
+    """
+    words = texts.words()
+    cut = words.end
+    data = np.concatenate((np.zeros(3, np.uint8), texts.data))
+    c, b, a = data[cut], data[cut + 1], data[cut + 2]  # the last three bytes before the cut
+    wide = ((a >= 0x1C) & (a <= 0x1F)) | ((b == 0xC2) & ((a == 0x85) | (a == 0xA0))) \
+        | ((c == 0xE1) & (b == 0x9A) & (a == 0x80)) | ((c == 0xE2) & (b == 0x80) & np.isin(a, _END_SPACE)) \
+        | ((c == 0xE2) & (b == 0x81) & (a == 0x9F)) | ((c == 0xE3) & (b == 0x80) & (a == 0x80))
+    cuts = np.unique(np.concatenate((texts.at, cut[~wide])))
+    begin, end = cuts[:-1], cuts[1:]
+    return Words(texts, begin, end, np.searchsorted(begin, texts.at))
