@@ -187,8 +187,15 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _END_SPACE = np.array([0x80 + k for k in range(11)] + [0xA8, 0xA9, 0xAF], np.uint8)
 
 
+_ALNUM = np.zeros(256, bool)
+_ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'")] = True
+
+
 def units(texts: Texts) -> Words:
-    """Spans of white space with the word after it, covering the texts.
+    """Spans of white space with the word after it, cut before punctuation,
+    covering the texts.
 
     Byte-level pre-tokenisers look across no end of such a span, so spans can
     be encoded one by one.  A word that ends in a wider kind of white space
@@ -201,6 +208,11 @@ def units(texts: Texts) -> Words:
     wide = ((a >= 0x1C) & (a <= 0x1F)) | ((b == 0xC2) & ((a == 0x85) | (a == 0xA0))) \
         | ((c == 0xE1) & (b == 0x9A) & (a == 0x80)) | ((c == 0xE2) & (b == 0x80) & np.isin(a, _END_SPACE)) \
         | ((c == 0xE2) & (b == 0x81) & (a == 0x9F)) | ((c == 0xE3) & (b == 0x80) & (a == 0x80))
-    cuts = np.unique(np.concatenate((texts.at, cut[~wide])))
+    # After a letter or digit, punctuation begins a match of its own too.
+    raw = texts.data
+    mark = np.flatnonzero(_MARK[raw[1:]] & _ALNUM[raw[:-1]]) + 1 if len(raw) else cut[:0]
+    is_cut = np.zeros(len(raw) + 1, bool)
+    is_cut[texts.at] = is_cut[cut[~wide]] = is_cut[mark] = True
+    cuts = np.flatnonzero(is_cut)
     begin, end = cuts[:-1], cuts[1:]
     return Words(texts, begin, end, np.searchsorted(begin, texts.at))
