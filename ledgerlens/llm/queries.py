@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from ledgerlens.llm import fertility, gam_quality, packing, signature_join
+from ledgerlens.llm import byte_bpe, fertility, gam_quality, packing, sharding, signature_join
 from ledgerlens.llm.common import read_table
 
 
@@ -22,6 +22,11 @@ def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.apply_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in 40 shards, uniformly, under the law ``rows``."""
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=40)
+
+
 def op5_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of ``documents`` as ``labels.quality`` marks it."""
     return gam_quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
@@ -34,9 +39,16 @@ def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_merge_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text of ``documents``, and the bytes that they decode to."""
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"),
+                               public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_residual_packing, op3_tokeniser_fertility, op5_additive_quality, op7_signature_trees,
+        op2_residual_packing, op3_tokeniser_fertility, op4_hypergeometric_shards, op5_additive_quality,
+        op7_signature_trees, op9_merge_fold,
     )}
 
 
