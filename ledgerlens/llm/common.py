@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,12 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def send(spark: SparkSession, model: object) -> Broadcast[bytes]:
+    """Broadcast an object of this package's classes by value: tasks use
+    ``pickle.loads`` on the bytes."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links(a, b)``: one row ``(id, root)`` per
     linked id, ``root`` the smallest id that it reaches.

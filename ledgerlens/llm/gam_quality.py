@@ -9,6 +9,7 @@ their own in the same way.  A score is the logistic of a sum of table entries.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -212,12 +213,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bo
     rows = common.written(texts.mapInArrow(_trait_rows, schema), "traits")
     sample = training_rows(rows, labels, label, bound).toPandas()  # numbers only, at most `bound` ids
     sample = sample.sort_values(["doc_id", *FEATURES])
-    model = spark.sparkContext.broadcast(
-        fit(sample[list(FEATURES)].to_numpy(float), sample["y"].to_numpy(float)))
+    sent = common.send(spark, fit(sample[list(FEATURES)].to_numpy(float), sample["y"].to_numpy(float)))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = pickle.loads(sent.value)
         for pdf in batches:
-            score = model.value.score(pdf[list(FEATURES)].to_numpy(float))
+            score = model.score(pdf[list(FEATURES)].to_numpy(float))
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": score})
 
     return (rows.mapInPandas(scored, "doc_id long, score double")
