@@ -135,3 +135,23 @@ def apply_rules(docs: DataFrame, path: str, kind: str = "sentencepiece", byte_id
                 "fallback_share double, token_entropy double")
     return texts.mapInArrow(
         lambda it: _measure(it, kind, path, byte_ids, bands, least_words, most_repeat), schema)
+
+
+def keep_passing(docs: DataFrame, path: str, kind: str = "sentencepiece",
+                 byte_ids: frozenset[int] = frozenset(range(3, 259)), bands: dict[str, Band] | None = None,
+                 least_words: int = 50, most_repeat: int = 50, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``apply_rules`` keeps,
+    filtered as they stream by."""
+    at, of = docs.columns.index(text), docs.columns.index(lang) if lang in docs.columns else None
+    bands = BANDS if bands is None else {**BANDS, **bands}
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            part = pa.RecordBatch.from_arrays(
+                [pa.nulls(n, pa.int64()), batch.column(at), pa.nulls(n, pa.string()) if of is None else batch.column(of)],
+                ["doc_id", "text", "lang"])
+            kept = [x.column("kept") for x in _measure(iter([part]), kind, path, byte_ids, bands, least_words, most_repeat)]
+            yield batch.filter(pa.concat_arrays(kept)) if kept else batch
+
+    return common.small_batches(docs).mapInArrow(passing, docs.schema)

@@ -196,6 +196,37 @@ def training_rows(rows: DataFrame, labels: DataFrame, label: str, bound: int) ->
     return rows.join(some, "doc_id")
 
 
+def trait_table(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id and the traits of every row, written once."""
+    texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
+                                             F.col(text).cast("string").alias("text")))
+    schema = "doc_id long, " + ", ".join(f"{c} double" for c in FEATURES)
+    return common.written(texts.mapInArrow(_trait_rows, schema), "traits")
+
+
+def train(rows: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 30_000) -> Additive:
+    """Fit on the traits of at most ``bound`` labelled ids: numbers only."""
+    sample = training_rows(rows, labels, label, bound).toPandas().sort_values(["doc_id", *FEATURES])
+    return fit(sample[list(FEATURES)].to_numpy(float), sample["y"].to_numpy(float))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bound: int = 30_000,
+              label: str = "quality", text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``threshold``
+    or more.  Rows are filtered as they stream by, without a shuffle."""
+    sent = common.send(docs.sparkSession, train(trait_table(docs, text, key), labels, label, bound))
+    at = docs.columns.index(text)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(sent.value)
+        for batch in batches:
+            for a, b in slices(batch.column(at)):
+                score = model.score(traits(Texts.of(batch.column(at).slice(a, b - a))))
+                yield batch.slice(a, b - a).filter(pa.array(score >= threshold))
+
+    return common.small_batches(docs).mapInArrow(good, docs.schema)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bound: int = 30_000,
                   label: str = "quality", text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1), predicted.
@@ -206,14 +237,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bo
     table gives 0.5 everywhere; an empty ``docs`` an empty result.  Other
     columns are ignored.
     """
-    spark = docs.sparkSession
-    texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
-                                             F.col(text).cast("string").alias("text")))
-    schema = "doc_id long, " + ", ".join(f"{c} double" for c in FEATURES)
-    rows = common.written(texts.mapInArrow(_trait_rows, schema), "traits")
-    sample = training_rows(rows, labels, label, bound).toPandas()  # numbers only, at most `bound` ids
-    sample = sample.sort_values(["doc_id", *FEATURES])
-    sent = common.send(spark, fit(sample[list(FEATURES)].to_numpy(float), sample["y"].to_numpy(float)))
+    rows = trait_table(docs, text, key)
+    sent = common.send(docs.sparkSession, train(rows, labels, label, bound))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = pickle.loads(sent.value)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from ledgerlens.llm import (
-    byte_bpe, fertility, gam_quality, license_scan, packing, sharding, signature_join, toxicity_kn, url_lists,
+    byte_bpe, fertility, gam_quality, license_scan, nn_descent, packing, sharding, signature_join, toxicity_kn, url_lists,
 )
 from ledgerlens.llm.common import read_table
 
@@ -41,6 +41,11 @@ def op5_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      threshold=0.7)
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of ``embeddings`` of one label: cosine 0.98 or more."""
+    return nn_descent.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents``: five words, similarity 0.75 or more."""
     out = signature_join.near_duplicates(read_table(spark, sf_dir, "documents"), width=5, percent=75)
@@ -141,7 +146,7 @@ FROM c LEFT JOIN ranked r ON r.id = c.id AND r.r = 1
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_residual_packing, op3_tokeniser_fertility, op4_hypergeometric_shards,
-        op5_additive_quality, op7_signature_trees, op8_kneser_ney_toxicity, op9_merge_fold, op10_temporal_url_lists,
+        op5_additive_quality, op6_nn_descent, op7_signature_trees, op8_kneser_ney_toxicity, op9_merge_fold, op10_temporal_url_lists,
     )}
 
 
