@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
-    "not_cancelled", "money", "dec_round", "safe_div", "zero_div", "bin_right",
+    "not_cancelled", "bin_right",
     "label_order", "clamp", "week_w", "year_week", "weekday_name", "month_label",
-    "ym", "month_offset", "month_number", "days_between", "sigmoid", "col_or",
+    "ym", "month_offset", "month_number", "days_between", "sigmoid",
 ]
 
 
@@ -32,27 +32,6 @@ def not_cancelled(orders: DataFrame, nulls: str = "drop") -> DataFrame:
     return orders.filter(cond)
 
 
-def money(c: Column | str, places: int = 2) -> Column:
-    """Round a DECIMAL (exact, half-up) and hand it out as double."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, places).cast("double")
-
-
-def dec_round(c: Column | str, places: int = 2) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, places)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """SQL ``a / NULLIF(b, 0)``: NULL on a zero denominator."""
-    return F.try_divide(a, b)
-
-
-def zero_div(a: Column, b: Column) -> Column:
-    """Python guard ``a / b if b else 0``."""
-    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
-
-
 def bin_right(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """``pd.cut(c, edges, labels)``: right-closed bins ``(lo, hi]``.
 
@@ -133,10 +112,6 @@ def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))
 
 
-def col_or(df: DataFrame, name: str, default) -> Column:
-    return F.col(name) if name in df.columns else F.lit(default)
-
-
 def rnd(c: Column | str, places: int = 2) -> Column:
     """Round half-up to ``places`` and return double.
 

@@ -13,12 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.core import bin_right, label_order, month_label, not_cancelled, rnd
+from ledgerlens.functions.core import bin_right, month_label, not_cancelled, rnd
 from ledgerlens.operators.ranking import month_spine
 from ledgerlens.sources.adapter import Tables
 
-# Fixed values of the reference: stock bands and their labels.
-STOCK_EDGES = (-1, 0, 10, 50, 9999999)
+# Fixed values of the reference: stock bands and their labels; the outer bands are open.
+STOCK_EDGES = (float("-inf"), 0, 10, 50, float("inf"))
 STOCK_LABELS = ("Out of Stock", "Critical", "Low Stock", "Healthy")
 
 
@@ -123,7 +123,7 @@ def revenue_by(t: Tables, dim: str, top: int | None = None, years=None, countrie
     g = g.filter(F.col(dim).isNotNull())
     if top:
         g = g.orderBy(F.col("_rev").desc(), F.col(dim)).limit(top)
-    return g.select(dim, rnd("_rev").alias("revenue"))
+    return g.orderBy(F.col("_rev").desc(), F.col(dim)).select(dim, rnd("_rev").alias("revenue"))
 
 
 def payment_mix(t: Tables) -> DataFrame:
@@ -200,15 +200,23 @@ def top_products(t: Tables, n: int = 10) -> DataFrame:
 
 
 def filter_domains(t: Tables) -> DataFrame:
-    """The selectable years, countries and channels (long form): one
-    pass over the orders, one distinct (its output is bounded by the three
-    domains)."""
-    o = t.orders_geo()
-    pairs = F.array(
-        F.struct(F.lit("year").alias("domain"), F.year("order_date").cast("string").alias("value")),
-        F.struct(F.lit("country").alias("domain"), F.col("country").alias("value")),
-        F.struct(F.lit("channel").alias("domain"), F.col("channel").alias("value")))
-    return o.select(F.inline(pairs)).na.drop(subset=["value"]).distinct()
+    """The selectable years, countries and channels (long form).
+
+    Orders are reduced to their distinct (customer, year) before anything is
+    joined; the output is bounded by the three domains."""
+    def pairs(*fields: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(d).alias("domain"), v.alias("value")) for d, v in fields])
+
+    year = F.year("order_date").cast("string")
+    if t.customer_geo is None:
+        out = t.orders.select(F.inline(pairs(("year", year), ("country", F.col("country")),
+                                             ("channel", F.col("channel")))))
+    else:
+        years = t.orders.select(year.alias("value")).distinct().select(F.lit("year").alias("domain"), "value")
+        buyers = t.orders.select("customer_id").distinct().join(t.customer_geo, "customer_id")
+        out = years.unionByName(buyers.select(F.inline(pairs(("country", F.col("country")),
+                                                             ("channel", F.col("channel"))))))
+    return out.na.drop(subset=["value"]).distinct()
 
 
 def chart_series(df: DataFrame, label: str, value: str, sort_key: Column,
@@ -249,7 +257,3 @@ def forecast_view(forecast: DataFrame, last: int = 12) -> DataFrame:
     return actual.unionByName(fc).select(
         "ym", "type", rnd(F.col("revenue") / 1e6).alias("revenue_m"),
         rnd(F.col("forecast_revenue") / 1e6).alias("forecast_revenue_m"))
-
-
-def churn_band_order(c: Column) -> Column:
-    return label_order(c, ("Low", "Medium", "High", "Critical"))

@@ -10,7 +10,6 @@ as the oracle so results agree to the last rounded digit.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -41,12 +40,11 @@ def monthly_revenue_series(t: Tables, base_year: int = 2022) -> DataFrame:
         F.countDistinct("order_id").alias("orders"))
 
 
-def seasonality_index(t: Tables) -> DataFrame:
+def seasonality_index(monthly: DataFrame) -> DataFrame:
     """Calendar-month revenue over all years divided by the mean of those
-    sums (at most 12 rows)."""
-    d = not_cancelled(t.orders, "keep")
-    per = d.groupBy(F.month("order_date").alias("cal_month")).agg(
-        F.sum("order_total").cast("double").alias("_s"))
+    sums (at most 12 rows), from the monthly series."""
+    per = monthly.groupBy(F.substring("ym", 6, 2).cast("int").alias("cal_month")).agg(
+        F.sum("revenue_dec").cast("double").alias("_s"))
     return per.select("cal_month", F.try_divide(F.col("_s"), F.avg("_s").over(Window.partitionBy()))
                       .alias("season_index"))
 
@@ -68,7 +66,7 @@ def revenue_forecast(t: Tables, months: int = 6, base_year: int = 2022) -> DataF
     base = F.col("slope") * (F.col("last_num") + F.col("i")) + F.col("intercept")
     fc = (steps.select(ym(period).alias("ym"), F.month(period).alias("cal_month"),
                        base.alias("trend"))
-          .join(F.broadcast(seasonality_index(t)), "cal_month", "left")
+          .join(F.broadcast(seasonality_index(monthly)), "cal_month", "left")
           .select("ym", (F.col("trend") * F.coalesce(F.col("season_index"), F.lit(1.0)))
                   .alias("adj"), "trend"))
     actual = monthly.select("ym", rnd("revenue_dec").alias("revenue"),
@@ -115,30 +113,23 @@ def churn_features(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180
                     (F.col("recency") > threshold).cast("int").alias("churned"))
 
 
-# Fitted scores per Tables object (weak keys: dropped with the tables).
-_MODEL_CACHE: "weakref.WeakKeyDictionary[Tables, dict]" = weakref.WeakKeyDictionary()
 FEATURES = ("recency", "frequency", "monetary", "avg_order")
+Model = tuple[float, Sequence[float]]  # intercept, weights of the scaled features
 
 
 def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
                  train_pct: int = 80, seed: int = 42, reg_param: float = 0.01,
-                 drop_recency: bool = False, rows_per_partition: int = 1_000_000) -> DataFrame:
+                 drop_recency: bool = False, model: Model | None = None) -> DataFrame:
     """M3: z-scaled features (population std + 1e-8), deterministic hash
     split, Spark ML logistic regression; every customer scored.
 
     The reference runs 2,000 plain gradient-descent epochs; here the same
     model family is fitted by Spark ML (L-BFGS, small L2 penalty, because the
     label is a step of the recency feature and the unpenalised optimum
-    diverges).  ``drop_recency`` removes the leaking feature."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    key = (snapshot, threshold, train_pct, seed, reg_param, drop_recency, rows_per_partition)
-    per_tables = _MODEL_CACHE.setdefault(t, {})
-    if key in per_tables:
-        return per_tables[key]
+    diverges).  ``drop_recency`` removes the leaking feature.  A given
+    ``model`` is applied as it is, without a fit."""
     s = _customer_stats(t, snapshot).select(
-        "customer_id", "recency", F.col("frequency").cast("double").alias("frequency"),
+        "customer_id", "last_order", "recency", F.col("frequency").cast("double").alias("frequency"),
         "monetary", F.try_divide(F.col("monetary"), F.col("frequency")).alias("avg_order"),
         (F.col("recency") > threshold).cast("int").alias("churned"))
     feats = [f for f in FEATURES if not (drop_recency and f == "recency")]
@@ -148,38 +139,39 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
     z = s.select("*", *[((F.col(f) - s.agg(F.avg(f)).scalar())
                          / (s.agg(F.stddev_pop(f)).scalar() + F.lit(1e-8))).alias(f"z_{f}")
                         for f in feats])
-    z = z.withColumn("is_test", F.pmod(F.xxhash64(F.col("customer_id"), F.lit(seed)), F.lit(100))
-                     >= train_pct)
-    # The customer-level features (one row per customer) feed the fit's many
-    # passes and every scored output: write them once to the reliable
-    # checkpoint folder, so the order aggregation runs once and all outputs
-    # score the same frozen features.
-    ensure_checkpoint_dir(t.spark)
-    z = z.checkpoint(eager=True)
-    # One distributed job per optimiser evaluation: size the partitions by
-    # row count (rows_per_partition per task), so task overhead does not
-    # dominate small inputs while large inputs still spread over many tasks.
-    n_train = z.filter(~F.col("is_test")).count()
-    parts = max(1, -(-n_train // rows_per_partition))
+    digits = F.substring(F.md5(F.concat_ws(":", F.col("customer_id").cast("string"), F.lit(str(seed)))), 1, 8)
+    z = z.withColumn("is_test", F.conv(digits, 16, 10).cast("long") % 100 >= train_pct)
+    if model is None:
+        # One row per customer feeds the fit's many passes and every output:
+        # written once to the reliable checkpoint folder, so the order
+        # aggregation runs once and all outputs score the same features.
+        ensure_checkpoint_dir(t.spark)
+        z = z.checkpoint(eager=True)
+        model = _fit(z, feats, reg_param)
+    intercept, weights = model
+    margin = F.lit(float(intercept))
+    for f, w in zip(feats, weights):
+        margin = margin + F.col(f"z_{f}") * F.lit(float(w))
+    raw = sigmoid(margin)
+    shown = F.round(raw, 4)  # the bands go by the rounded probability, the prediction by the raw one
+    return z.select("customer_id", "recency", F.col("frequency").cast("long").alias("frequency"),
+                    rnd("monetary").alias("monetary"), rnd("avg_order").alias("avg_order"), "last_order",
+                    "churned", "is_test", shown.alias("churn_probability"),
+                    (raw >= 0.5).cast("int").alias("predicted"),
+                    bin_right(shown, RISK_EDGES, RISK_LABELS).alias("churn_risk"))
+
+
+def _fit(z: DataFrame, feats: Sequence[str], reg_param: float) -> Model:
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
     train = (VectorAssembler(inputCols=[f"z_{f}" for f in feats], outputCol="features")
-             .transform(z.filter(~F.col("is_test")))
-             .select("features", "churned").coalesce(parts))
+             .transform(z.filter(~F.col("is_test") & F.col("churned").isNotNull()))
+             .select("features", "churned"))
     lr = LogisticRegression(featuresCol="features", labelCol="churned", regParam=reg_param,
                             standardization=False, maxIter=200)
-    model = lr.fit(train)
-    coef = model.coefficients.toArray().tolist()
-    margin = F.lit(float(model.intercept))
-    for f, w in zip(feats, coef):
-        margin = margin + F.col(f"z_{f}") * F.lit(float(w))
-    prob = F.round(sigmoid(margin), 4)
-    scored = z.select("customer_id", "recency", F.col("frequency").cast("long").alias("frequency"),
-                      rnd("monetary").alias("monetary"), rnd("avg_order").alias("avg_order"),
-                      "churned", "is_test", prob.alias("churn_probability"))
-    scored = scored.withColumns({
-        "predicted": (F.col("churn_probability") >= 0.5).cast("int"),
-        "churn_risk": bin_right(F.col("churn_probability"), RISK_EDGES, RISK_LABELS)})
-    per_tables[key] = scored
-    return scored
+    fitted = lr.fit(train)
+    return float(fitted.intercept), fitted.coefficients.toArray().tolist()
 
 
 def churn_metrics(t: Tables, **kw) -> DataFrame:
@@ -204,13 +196,21 @@ def churn_metrics(t: Tables, **kw) -> DataFrame:
                     .alias("confusion_matrix"))
 
 
+def churn_metrics_flat(t: Tables, **kw) -> DataFrame:
+    """M4 with the confusion matrix as columns."""
+    m = churn_metrics(t, **kw)
+    return m.select(*m.columns[:-1], "confusion_matrix.*")
+
+
 def churn_risk_summary(t: Tables, **kw) -> DataFrame:
     """M5: customers, mean and total monetary per risk band (a probability
     that rounds to 0 gets no band and is left out)."""
     s = churn_scores(t, **kw).filter(F.col("churn_risk").isNotNull())
     return s.groupBy("churn_risk").agg(
-        F.count(F.lit(1)).alias("customers"), rnd(F.avg("monetary")).alias("avg_monetary"),
-        rnd(F.sum("monetary")).alias("total_revenue"),
+        F.count(F.lit(1)).alias("customers"),
+        F.sum(F.col("monetary").cast("decimal(38,2)")).alias("_sum"), F.count("monetary").alias("_n"),
+    ).select("churn_risk", "customers", rnd(F.try_divide(F.col("_sum"), F.col("_n"))).alias("avg_monetary"),
+             rnd("_sum").alias("total_revenue")
     ).withColumn("risk_order", label_order(F.col("churn_risk"), RISK_LABELS))
 
 
@@ -221,18 +221,20 @@ def churn_risk_distribution(t: Tables, **kw) -> DataFrame:
 
 
 def confusion_matrix(t: Tables, **kw) -> DataFrame:
-    """2x2 confusion frame on the test split."""
-    s = churn_scores(t, **kw).filter(F.col("is_test"))
-    return s.groupBy(F.col("churned").alias("actual")).agg(
-        F.count_if(F.col("predicted") == 0).alias("predicted_0"),
-        F.count_if(F.col("predicted") == 1).alias("predicted_1"))
+    """2x2 confusion frame on the test split, both classes always."""
+    m = churn_metrics(t, **kw).select("confusion_matrix.*")
+    row = lambda actual, no, yes: F.struct(F.lit(actual).alias("actual"), F.col(no).alias("predicted_0"),
+                                           F.col(yes).alias("predicted_1"))
+    return m.select(F.inline(F.array(row(0, "TN", "FP"), row(1, "FN", "TP"))))
 
 
 # ── M6 / M10 / M11 / E4 discount bands ──────────────────────────────────────
 def _sold_lines(t: Tables, product_cols: Sequence[str]) -> DataFrame:
+    # Products first, orders last: the order_id partitioning then also serves
+    # the distinct order counts.
     live = not_cancelled(t.orders, "keep").select("order_id")
-    items = t.order_items.join(live, "order_id", "left_semi")
-    return items.join(t.products.select("product_id", *product_cols), "product_id")
+    items = t.order_items.join(t.products.select("product_id", *product_cols), "product_id")
+    return items.join(live, "order_id", "left_semi")
 
 
 def price_elasticity(t: Tables, edges: Sequence[float] = BAND_EDGES,

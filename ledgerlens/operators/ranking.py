@@ -108,85 +108,3 @@ def day_spine(spark, start: str, end: str, out_col: str = "date") -> DataFrame:
     return spark.range(1).select(
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)),
                              F.expr("interval 1 day"))).alias(out_col))
-
-
-def with_neighbors(df: DataFrame, key: str, order_cols: Sequence[Column], cols: Sequence[str],
-                   lags: Sequence[int] = (1,), leads: Sequence[int] = (),
-                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Skew-safe ``LAG``/``LEAD`` of ``cols`` within ``key`` ordered by
-    ``order_cols``, plus per-key bounds.
-
-    ``Window.partitionBy(key)`` sends every row of a key to one task, so one
-    hot key (say a third of all rows) stalls the stage.  Here rows get a
-    global position over ``(key, order_cols)`` (range partitioning splits a
-    hot key), and each neighbour is fetched by an equi-join on position via a
-    single ``groupBy`` over shifted copies: positions are unique, so the
-    shuffle is even whatever the key distribution.
-
-    Returns ``(rows, bounds)``: ``rows`` is ``df`` plus ``_rank`` and, for
-    each lag ``i`` / lead ``j``, ``lag{i}_same`` / ``lead{j}_same`` (the
-    neighbour exists and has the same key) and ``lag{i}_{c}`` /
-    ``lead{j}_{c}``; ``bounds`` is ``key, _first, _n`` (first position and
-    row count of each key, partially aggregated).
-    """
-    g = global_order(df, [F.col(key).asc(), *order_cols], num_partitions=num_partitions)
-    g = g.drop("_total")
-    row = F.struct(*[F.col(c) for c in df.columns])
-    nb = F.struct(F.col(key).alias("_k"), *[F.col(c) for c in cols])
-    row_t = g.select(row.alias("x")).schema["x"].dataType
-    nb_t = g.select(nb.alias("x")).schema["x"].dataType
-    slots = [(f"lag{i}", i) for i in lags] + [(f"lead{j}", -j) for j in leads]
-
-    def copy(shift: int, me: str | None) -> DataFrame:
-        sel = [(F.col("_rank") + F.lit(shift)).alias("_r"),
-               (row if me is None else F.lit(None).cast(row_t)).alias("_cur")]
-        for name, _ in slots:
-            sel.append((nb if name == me else F.lit(None).cast(nb_t)).alias(name))
-        return g.select(*sel)
-
-    u = copy(0, None)
-    for name, shift in slots:
-        u = u.unionByName(copy(shift, name))
-    # Every position receives at most 1 + len(slots) rows: an even shuffle.
-    agg = u.groupBy("_r").agg(F.max("_cur").alias("_cur"),
-                              *[F.max(name).alias(name) for name, _ in slots])
-    out = agg.filter(F.col("_cur").isNotNull()).select(
-        "_cur.*", F.col("_r").alias("_rank"), *[name for name, _ in slots])
-    extra = []
-    for name, _ in slots:
-        same = F.coalesce(F.col(f"{name}._k").eqNullSafe(F.col(key))
-                          & F.col(name).isNotNull(), F.lit(False))
-        extra.append(same.alias(f"{name}_same"))
-        extra += [F.when(same, F.col(f"{name}.{c}")).alias(f"{name}_{c}") for c in cols]
-    rows = out.select(*df.columns, "_rank", *extra)
-    bounds = g.groupBy(key).agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    return rows, bounds
-
-
-def has_hot_key(df: DataFrame, key: str, skew_factor: float = 5.0,
-                num_partitions: int | None = None) -> bool:
-    """True when some ``key`` value may hold more than ``skew_factor`` times
-    an even share of the rows over the shuffle partitions (the same rule as
-    AQE's skewed-partition factor).
-
-    ``DataFrame.stat.freqItems`` (one pass, no shuffle, memory bounded by
-    1 / support) never misses a key above the support but may return false
-    candidates, so a second pass counts the few candidates exactly."""
-    parts = _partitions(df, num_partitions)
-    support = min(0.5, max(1e-4 * 1.01, skew_factor / parts))
-    found = [x for x in df.select(key).stat.freqItems([key], support).collect()[0][0]]
-    if not found:
-        return False
-    k = F.col(key)
-    checks = [F.count_if(k.isNull() if c is None else k == F.lit(c)).alias(f"_c{i}")
-              for i, c in enumerate(found)]
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *checks).collect()[0]
-    return any(row[f"_c{i}"] > support * row["_n"] for i in range(len(found)))
-
-
-def choose_skew_safe(df: DataFrame, key: str, skew_safe) -> bool:
-    """Resolve a ``skew_safe`` argument: True / False, or ``"auto"`` to test
-    for a hot key first."""
-    if skew_safe == "auto":
-        return has_hot_key(df, key)
-    return bool(skew_safe)

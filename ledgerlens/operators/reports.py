@@ -16,7 +16,7 @@ from ledgerlens.functions.core import (
     bin_right, not_cancelled, rnd, week_w, weekday_name, ym,
 )
 from ledgerlens.operators.dashboard import STOCK_EDGES, STOCK_LABELS, product_sales
-from ledgerlens.operators.ranking import choose_skew_safe, global_ntile, month_spine, with_neighbors
+from ledgerlens.operators.ranking import global_ntile, month_spine
 from ledgerlens.operators.sql_patterns import cohort_counts
 from ledgerlens.sources.adapter import Tables
 
@@ -41,6 +41,7 @@ def category_performance(t: Tables) -> DataFrame:
                                   "product_id")
     g = per_p.groupBy("category").agg(F.sum("_rev").alias("_rev"),
                                       F.sum(F.col("units_sold") * F.col("cost_price")).alias("_cogs"))
+    g = g.orderBy(F.col("_rev").desc(), "category")
     return g.select("category", rnd("_rev").alias("revenue"), rnd("_cogs").alias("cogs"),
                     rnd(F.try_divide((F.col("_rev") - F.col("_cogs")) * 100, F.col("_rev")))
                     .alias("gp_margin"))
@@ -59,9 +60,13 @@ def _share(df: DataFrame, col: str = "_rev") -> DataFrame:
 
 def channel_performance(t: Tables) -> DataFrame:
     """A4: per channel revenue, orders and share of revenue %."""
-    g = (_per_customer(t).join(t.customer_geo, "customer_id", "left")
-         .filter(F.col("channel").isNotNull())
-         .groupBy("channel").agg(F.sum("_rev").alias("_rev"), F.sum("_orders").alias("orders")))
+    if t.customer_geo is None:  # orders carry their channel
+        g = (not_cancelled(t.orders).filter(F.col("channel").isNotNull()).groupBy("channel")
+             .agg(F.sum("order_total").alias("_rev"), F.countDistinct("order_id").alias("orders")))
+    else:
+        g = (_per_customer(t).join(t.customer_geo, "customer_id", "left")
+             .filter(F.col("channel").isNotNull())
+             .groupBy("channel").agg(F.sum("_rev").alias("_rev"), F.sum("_orders").alias("orders")))
     return _share(g).select("channel", rnd("_rev").alias("revenue"),
                             F.col("orders").cast("long").alias("orders"), "share_pct")
 
@@ -117,7 +122,7 @@ def rfm_segments(t: Tables, snapshot: str = "2025-01-01") -> DataFrame:
         F.count(F.lit(1)).alias("customers"), F.avg("recency").alias("_r"),
         F.avg("frequency").alias("_f"), F.avg("monetary").alias("_m"),
         F.sum(F.col("monetary").cast("decimal(38,2)")).alias("_rev"))
-    return _share(g).select("segment", "customers", rnd("_r").alias("avg_recency"),
+    return _share(g).orderBy(F.col("_rev").desc(), "segment").select("segment", "customers", rnd("_r").alias("avg_recency"),
                             rnd("_f").alias("avg_freq"), rnd("_m").alias("avg_monetary"),
                             rnd("_rev").alias("total_rev"), F.col("share_pct").alias("pct_revenue"))
 
@@ -189,10 +194,12 @@ def delivery_time_by_country(t: Tables) -> DataFrame:
     with a delivery date)."""
     d = (t.orders_delivery().filter((F.col("status") == "Delivered")
                                     & F.col("delivery_date").isNotNull())
-         .select("customer_id", F.datediff("delivery_date", "order_date").alias("_days")))
-    per_c = d.groupBy("customer_id").agg(F.sum("_days").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    g = (per_c.join(t.customer_geo, "customer_id", "left").filter(F.col("country").isNotNull())
-         .groupBy("country").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("orders")))
+         .withColumn("_days", F.datediff("delivery_date", "order_date")))
+    key = "country" if t.customer_geo is None else "customer_id"  # orders may carry their country
+    g = d.groupBy(key).agg(F.sum("_days").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    if t.customer_geo is not None:
+        g = g.join(t.customer_geo, "customer_id", "left")
+    g = (g.filter(F.col("country").isNotNull()).groupBy("country").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("orders")))
     return g.select("country", rnd(F.col("_s") / F.col("orders")).alias("avg_delivery_days"),
                     F.col("orders").cast("long").alias("orders"))
 
@@ -254,25 +261,26 @@ def category_rank_monthly(t: Tables) -> DataFrame:
                       F.rank().over(w).alias("rank"))
 
 
-def purchase_gap(t: Tables, skew_safe="auto") -> DataFrame:
+def purchase_gap(t: Tables) -> DataFrame:
     """Per customer with two or more orders the mean, min and max days
-    between consecutive orders.  ``skew_safe`` takes the previous order from
-    :func:`with_neighbors` instead of a per-customer window; the final
-    per-customer aggregate is partial (map-side), so a hot customer is never
-    gathered in one task.  ``"auto"`` tests for a hot customer first."""
-    o = not_cancelled(t.orders)
-    if choose_skew_safe(o, "customer_id", skew_safe):
-        rows, _ = with_neighbors(o.select("customer_id", "order_id", "order_date"), "customer_id",
-                                 [F.col("order_date"), F.col("order_id")], ["order_date"])
-        gaps = rows.select("customer_id",
-                           F.datediff("order_date", F.col("lag1_order_date")).alias("_g"))
-    else:
-        w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
-        gaps = o.select("customer_id",
-                        F.datediff("order_date", F.lag("order_date").over(w)).alias("_g"))
-    return (gaps.groupBy("customer_id").agg(
-        (F.count(F.lit(1))).alias("orders"), F.avg("_g").alias("_avg"),
-        F.min("_g").alias("min_gap_days"), F.max("_g").alias("max_gap_days"))
+    between consecutive orders.
+
+    Orders are first counted per customer and day: a day with several orders
+    gives zero gaps, and the window sees at most one row per customer and
+    calendar day, however many orders one customer holds.  An order without
+    a date counts as an order but bounds no gap."""
+    daily = not_cancelled(t.orders).groupBy("customer_id", "order_date").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("customer_id").orderBy("order_date")
+    dated = F.col("order_date").isNotNull()
+    gap = F.datediff("order_date", F.lag("order_date").over(w))
+    g = daily.select("customer_id", "_n", gap.alias("_g"), F.when(dated, F.col("_n") - 1).otherwise(0).alias("_zero"))
+    total = F.coalesce(F.sum("_g"), F.lit(0))
+    n_gaps = F.count("_g") + F.sum("_zero")
+    some = F.max("_zero") > 0
+    return (g.groupBy("customer_id").agg(
+        F.sum("_n").alias("orders"), F.try_divide(total, n_gaps).alias("_avg"),
+        F.when(some, F.lit(0)).otherwise(F.min("_g")).alias("min_gap_days"),
+        F.coalesce(F.max("_g"), F.when(some, F.lit(0))).alias("max_gap_days"))
         .filter(F.col("orders") >= 2)
         .select("customer_id", "orders", rnd("_avg").alias("avg_gap_days"), "min_gap_days",
                 "max_gap_days"))

@@ -17,7 +17,7 @@ from ledgerlens.functions.core import (
     days_between, month_offset, not_cancelled, rnd, week_w, weekday_name, year_week, ym,
 )
 from ledgerlens.operators.ranking import (
-    choose_skew_safe, day_spine, global_ntile, global_order, with_neighbors,
+    day_spine, global_ntile, global_order,
 )
 from ledgerlens.sources.adapter import Tables
 
@@ -100,47 +100,33 @@ def customer_deciles(t: Tables, n: int = 10) -> DataFrame:
         rnd(F.try_divide(F.col("total_ltv") * 100, grand)).alias("pct_total_revenue"))
 
 
-def customer_journey(t: Tables, skew_safe="auto") -> DataFrame:
+def customer_journey(t: Tables) -> DataFrame:
     """Q5: each customer's first, second and last order with the order
     count and the day gaps to the previous and next order.  Ties on the
     order date are broken by order_id.
 
-    ``skew_safe`` avoids ``Window.partitionBy(customer_id)``, which would
-    put a customer holding a large share of all orders in one task (``"auto"``
-    decides with a one-pass heavy-hitter test, see ``has_hot_key``):
-    neighbours come from :func:`with_neighbors` (positions over the global
-    order), the rank 1 / 2 / last rows are selected from the neighbour keys,
-    and only those (at most three per customer) are joined to the per-customer
-    bounds."""
-    o = not_cancelled(t.orders)
-    if choose_skew_safe(o, "customer_id", skew_safe):
-        base = o.select("customer_id", "order_id", "order_date", "order_total")
-        rows, bounds = with_neighbors(base, "customer_id", [F.col("order_date"), F.col("order_id")],
-                                      ["order_date"], lags=(1, 2), leads=(1,))
-        first = ~F.col("lag1_same")
-        second = F.col("lag1_same") & ~F.col("lag2_same")
-        last = ~F.col("lead1_same")
-        # null-safe: NULL customers form one sequence, as in PARTITION BY
-        b = bounds.withColumnRenamed("customer_id", "_bk")
-        picked = (rows.filter(first | second | last)
-                  .join(b, F.col("customer_id").eqNullSafe(F.col("_bk"))).drop("_bk"))
-        return picked.select(
-            "customer_id", "order_id", "order_date", rnd("order_total").alias("order_total"),
-            (F.col("_rank") - F.col("_first") + 1).cast("long").alias("order_rank"),
-            F.col("_n").cast("long").alias("total_orders"),
-            days_between(F.col("order_date"), F.col("lag1_order_date")).alias("days_since_last"),
-            days_between(F.col("lead1_order_date"), F.col("order_date")).alias("days_to_next"))
-    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
-    j = o.select(
-        "customer_id", "order_id", "order_date", "order_total",
-        F.row_number().over(w).alias("order_rank"),
-        F.count(F.lit(1)).over(Window.partitionBy("customer_id")).alias("total_orders"),
-        F.lag("order_date").over(w).alias("prev_date"),
-        F.lead("order_date").over(w).alias("next_date"))
-    return (j.filter(F.col("order_rank").isin(1, 2) | (F.col("order_rank") == F.col("total_orders")))
+    Only the first three and last two orders of a customer are ever ranked:
+    Spark cuts a rank limit in each map task before the exchange, so a
+    customer with any share of the orders sends a few rows per task.  The
+    count is a partial aggregate."""
+    base = not_cancelled(t.orders).select("customer_id", "order_id", "order_date", "order_total")
+    up = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+    down = Window.partitionBy("customer_id").orderBy(F.col("order_date").desc_nulls_last(),
+                                                     F.col("order_id").desc_nulls_last())
+    n = base.groupBy(F.col("customer_id").alias("_c")).agg(F.count(F.lit(1)).alias("total_orders"))
+    first = (base.withColumn("order_rank", F.row_number().over(up)).filter(F.col("order_rank") <= 3)
+             .withColumns({"prev_date": F.lag("order_date").over(up), "next_date": F.lead("order_date").over(up)})
+             .filter(F.col("order_rank") <= 2))
+    last = (base.withColumn("_back", F.row_number().over(down)).filter(F.col("_back") <= 2)
+            .withColumn("prev_date", F.lead("order_date").over(down)).filter(F.col("_back") == 1)
+            .select(*base.columns, F.lit(None).cast("int").alias("order_rank"), "prev_date",
+                    F.lit(None).cast("date").alias("next_date")))
+    # null-safe: NULL customers form one sequence, as in PARTITION BY
+    j = first.unionByName(last).join(n, F.col("customer_id").eqNullSafe(F.col("_c")))
+    return (j.filter(F.col("order_rank").isNotNull() | (F.col("total_orders") > 2))
             .select("customer_id", "order_id", "order_date", rnd("order_total").alias("order_total"),
-                    F.col("order_rank").cast("long").alias("order_rank"),
-                    F.col("total_orders").cast("long").alias("total_orders"),
+                    F.coalesce(F.col("order_rank").cast("long"), F.col("total_orders")).alias("order_rank"),
+                    "total_orders",
                     days_between(F.col("order_date"), F.col("prev_date")).alias("days_since_last"),
                     days_between(F.col("next_date"), F.col("order_date")).alias("days_to_next")))
 
@@ -162,9 +148,12 @@ def category_affinity(t: Tables, min_count: int = 50) -> DataFrame:
     so the product self-join of the SQL (and its sort-merge) is not needed
     and a huge order cannot blow up.
     """
-    items = _items_in_live_orders(t).select("order_id", "product_id")
+    # Products first: the order_id partitioning of the semi join then serves
+    # both groupings.
     cat = t.products.select("product_id", "category")
-    per_cat = (items.join(cat, "product_id")
+    live = not_cancelled(t.orders).select("order_id")
+    per_cat = (t.order_items.select("order_id", "product_id").join(cat, "product_id")
+               .join(live, "order_id", "left_semi")
                .groupBy("order_id", "category")
                .agg(F.min("product_id").alias("lo"), F.max("product_id").alias("hi")))
     per_order = per_cat.groupBy("order_id").agg(

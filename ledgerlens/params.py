@@ -3,18 +3,6 @@ tables (orders there run 1995-01-01 .. 2001-08-01 and the money scale
 differs, so several reference constants would give empty or one-sided
 results).  Every operator takes these as arguments."""
 
-REFERENCE = dict(
-    spine_start="2022-01-01", spine_end="2024-12-31", years=(2022, 2023, 2024),
-    base_year=2022, snapshot="2025-01-01",
-    nba_tiers=(5000, 20000, 50000), clv_tiers=(5000, 20000, 50000),
-    affinity_min=50, basket_support=0.005, lift_cuts=(1.2, 1.0),
-    band_edges=(-0.01, 0.001, 0.05, 0.10, 0.15, 0.20),
-    band_labels=("0%", "1-5%", "6-10%", "11-15%", "16-20%"),
-    base_band="0%", target_band="16-20%", price_change=-0.18,
-    outlier_k=3.0, anomaly_k=2.0, max_order_total=10_000_000, max_discount=0.20,
-    min_margin=0.30, min_customers=1000, min_orders=5000,
-)
-
 TEST = dict(
     spine_start="1995-01-01", spine_end="2001-08-01",
     years=(1995, 1996, 1997, 1998, 1999, 2000, 2001),
@@ -26,6 +14,7 @@ TEST = dict(
     base_band="0%", target_band="9-10%", price_change=-0.095,
     outlier_k=1.5, anomaly_k=2.0, max_order_total=400_000, max_discount=0.05,
     min_margin=0.30, min_customers=1000, min_orders=5000,
+    churn_model=(-0.5, (2.0, -0.6, 0.3, 0.1)),  # a given model, to check the scoring by SQL
     filter_years=(1996, 1997), filter_countries=("ASIA", "EUROPE"),
     filter_channels=("BUILDING", "MACHINERY"),
 )

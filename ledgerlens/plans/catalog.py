@@ -79,6 +79,11 @@ def predictive_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "churn_risk_summary": _bind(M.churn_risk_summary, **churn),
         "churn_risk_distribution": _bind(M.churn_risk_distribution, **churn),
         "confusion_matrix": _bind(M.confusion_matrix, **churn),
+        "churn_scored": _bind(M.churn_scores, **churn, model=P["churn_model"]),
+        "churn_scored_metrics": _bind(M.churn_metrics_flat, **churn, model=P["churn_model"]),
+        "churn_scored_risk_summary": _bind(M.churn_risk_summary, **churn, model=P["churn_model"]),
+        "churn_scored_risk_distribution": _bind(M.churn_risk_distribution, **churn, model=P["churn_model"]),
+        "churn_scored_confusion": _bind(M.confusion_matrix, **churn, model=P["churn_model"]),
         "price_elasticity": _bind(M.price_elasticity_bands, **bands),
         "elasticity_summary": _bind(M.elasticity_summary, **bands, base=P["base_band"],
                                     target=P["target_band"], price_change=P["price_change"]),
@@ -110,6 +115,8 @@ def dashboard_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_revenue": _bind(K.monthly_revenue),
         "monthly_revenue_filtered": _bind(K.monthly_revenue, **filters),
         "mom_growth": _bind(K.mom_growth),
+        "mom_growth_filtered": _bind(K.mom_growth, **filters),
+        "revenue_by_channel_filtered": _bind(K.revenue_by, dim="channel", **filters),
         "revenue_by_channel": _bind(K.revenue_by, dim="channel"),
         "revenue_by_country_top8": _bind(K.revenue_by, dim="country", top=8),
         "revenue_by_payment": _bind(K.revenue_by, dim="payment_method"),

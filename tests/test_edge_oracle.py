@@ -6,12 +6,12 @@ import tempfile
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerlens.plans import catalog, oracle
 from scripts.check_oracle import compare, duck
 from tests.edge_data import write_edge_tables
 
-_QUERIES = E.queries()
-_SQL = E.oracle_sql()
+_QUERIES = catalog.queries()
+_SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -42,13 +42,3 @@ def test_edge_affinity_low_threshold(spark, con, edge_dir):
                           lambda s, d: category_affinity(load_tables(s, d), min_count=1), sql)
     assert status == "OK", msg
     assert int(msg.split()[0]) > 0
-
-
-@pytest.mark.parametrize("name", ["customer_journey", "purchase_gap"])
-def test_edge_skew_safe_paths(spark, con, edge_dir, name):
-    from ledgerlens.operators import reports, sql_patterns
-    from ledgerlens.sources.adapter import load_tables
-    fn = sql_patterns.customer_journey if name == "customer_journey" else reports.purchase_gap
-    status, msg = compare(spark, con, edge_dir, name,
-                          lambda s, d: fn(load_tables(s, d), skew_safe=True), _SQL[name])
-    assert status == "OK", msg

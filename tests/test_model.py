@@ -54,3 +54,13 @@ def test_risk_summary_bands(t):
 def test_drop_recency_option_runs(t):
     m = M.churn_metrics(t, snapshot=SNAP, drop_recency=True).collect()[0]
     assert 0.0 <= m.accuracy <= 1.0
+
+
+def test_prediction_uses_the_raw_probability_and_matrix_is_whole(t):
+    # every margin is slightly below zero: shown as 0.5, predicted 0
+    s = M.churn_scores(t, snapshot=SNAP, model=(-1e-5, (0.0, 0.0, 0.0, 0.0)))
+    assert {(r.churn_probability, r.predicted) for r in s.collect()} == {(0.5, 0)}
+    assert "last_order" in s.columns
+    rows = {r.actual: (r.predicted_0, r.predicted_1)
+            for r in M.confusion_matrix(t, snapshot=SNAP, threshold=-1, model=(5.0, (0, 0, 0, 0))).collect()}
+    assert rows[0] == (0, 0) and rows[1][0] == 0 and rows[1][1] > 0

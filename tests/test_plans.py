@@ -43,3 +43,38 @@ def test_deciles_do_not_use_a_window_ntile(spark):
     # from a window function over all customers
     assert "ntile(" not in plan.lower()
     assert "ExistingRDD" in plan  # the checkpointed, ranked customer rows
+
+
+def _line_shuffles(spark, name):
+    """Exchanges above lineitem before anything is aggregated, broadcast off."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if "lineitem.parquet" in x)
+    depth = re.search(r"[A-Z]", lines[at]).start()
+    count = 0
+    for x in reversed(lines[:at]):
+        d = re.search(r"[+:*]- |[A-Z(*]", x).start()
+        if d < depth:
+            depth = d
+            if re.search(r"functions=\[(?!\])", x):
+                break
+            count += "Exchange hash" in x
+    return count
+
+
+def test_discount_family_and_affinity_shuffle_lines_twice(spark):
+    for name in ("discount_effect", "price_elasticity", "category_affinity"):
+        assert _line_shuffles(spark, name) <= 2, name
+
+
+def test_forecast_reads_orders_once(spark):
+    df = E.queries()["revenue_forecast"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert _scans(plan).count("orders") <= 3

@@ -62,39 +62,66 @@ def test_empty_input(spark):
     assert global_ntile(df, 10, [F.col("k")], "t").count() == 0
 
 
-def test_with_neighbors_equals_window_with_hot_key_and_nulls(spark):
-    from ledgerlens.operators.ranking import with_neighbors
-    rnd = random.Random(3)
-    rows = []
-    for i in range(900):
-        k = 1 if i % 3 == 0 else (None if i % 17 == 0 else rnd.randint(2, 60))
-        rows.append((k, i, rnd.randint(0, 50)))
-    df = spark.createDataFrame(rows, "k long, id long, d long")
-    got, bounds = with_neighbors(df, "k", [F.col("d"), F.col("id")], ["d"], lags=(1, 2), leads=(1,),
-                                 num_partitions=7)
-    w = Window.partitionBy("k").orderBy("d", "id")
-    exp = df.select("id", F.lag("d", 1).over(w).alias("l1"), F.lag("d", 2).over(w).alias("l2"),
-                    F.lead("d", 1).over(w).alias("n1"),
-                    F.row_number().over(w).alias("rn"),
-                    F.count("*").over(Window.partitionBy("k")).alias("cnt")).collect()
-    j = got.join(bounds, got["k"].eqNullSafe(bounds["k"])).select(
-        "id", "lag1_d", "lag2_d", "lead1_d", (F.col("_rank") - F.col("_first") + 1).alias("rn"), "_n")
-    assert {r.id: (r.lag1_d, r.lag2_d, r.lead1_d, r.rn, r._n) for r in j.collect()} == \
-        {r.id: (r.l1, r.l2, r.n1, r.rn, r.cnt) for r in exp}
-
-
-def test_has_hot_key(spark):
-    from ledgerlens.operators.ranking import has_hot_key
-    even = spark.createDataFrame([(i % 500,) for i in range(5000)], "k long")
-    hot = spark.createDataFrame([(0 if i % 3 == 0 else i,) for i in range(5000)], "k long")
-    assert not has_hot_key(even, "k", num_partitions=16)
-    assert has_hot_key(hot, "k", num_partitions=16)
-
-
-def test_journey_paths_agree(spark):
-    from ledgerlens.operators.sql_patterns import customer_journey
+def _hot_orders(spark):
+    """One customer holds half of the orders; ties, NULL customers and dates."""
+    import dataclasses
+    import datetime as dt
+
     from ledgerlens.sources.adapter import load_tables
-    t = load_tables(spark, "/root/testdata/sf0.001")
-    a = sorted(tuple(r) for r in customer_journey(t, skew_safe=True).collect())
-    b = sorted(tuple(r) for r in customer_journey(t, skew_safe=False).collect())
-    assert a == b
+    rnd = random.Random(5)
+    day = dt.date(1996, 1, 1)
+    rows = [(1 if i % 2 == 0 else (None if i % 41 == 0 else rnd.randint(2, 90)), i,
+             None if i % 97 == 0 else day + dt.timedelta(days=rnd.randint(0, 300)), "Shipped", float(i % 50))
+            for i in range(3000)]
+    o = spark.createDataFrame(rows, "customer_id long, order_id long, order_date date, status string, _t double")
+    o = o.withColumn("order_total", F.col("_t").cast("decimal(18,2)")).drop("_t")
+    return dataclasses.replace(load_tables(spark, "/root/testdata/sf0.001"), orders=o), rows
+
+
+def test_journey_and_gap_with_a_hot_customer(spark):
+    import datetime as dt
+
+    from ledgerlens.operators.reports import purchase_gap
+    from ledgerlens.operators.sql_patterns import customer_journey
+    t, rows = _hot_orders(spark)
+    by = {}
+    for c, i, d, _, _ in rows:
+        by.setdefault(c, []).append((d or dt.date.min, i, d))
+    want, gaps = set(), {}
+    days = lambda a, b: (a - b).days if a and b else None
+    for c, orders in by.items():
+        orders.sort(key=lambda x: x[:2])
+        n = len(orders)
+        for k in {1, 2, n}:
+            if k <= n:
+                d = orders[k - 1][2]
+                before = orders[k - 2][2] if k > 1 else None
+                after = orders[k][2] if k < n else None
+                want.add((c, orders[k - 1][1], k, n, days(d, before), days(after, d)))
+        steps = [g for g in (days(b[2], a[2]) for a, b in zip(orders, orders[1:])) if g is not None]
+        if n >= 2:
+            gaps[c] = (n, round(sum(steps) / len(steps), 2) if steps else None, min(steps, default=None),
+                       max(steps, default=None))
+    got = {(r.customer_id, r.order_id, r.order_rank, r.total_orders, r.days_since_last, r.days_to_next)
+           for r in customer_journey(t).collect()}
+    assert got == want
+    mine = {r.customer_id: (r.orders, r.avg_gap_days, r.min_gap_days, r.max_gap_days) for r in purchase_gap(t).collect()}
+    assert mine.keys() == gaps.keys()
+    for c in gaps:
+        assert mine[c][0::2] == gaps[c][0::2] and mine[c][3] == gaps[c][3]
+        assert mine[c][1] is None or abs(mine[c][1] - gaps[c][1]) < 0.011
+
+
+def test_journey_plan_does_not_depend_on_partitions(spark):
+    import re
+
+    from ledgerlens.operators.sql_patterns import customer_journey
+    t, _ = _hot_orders(spark)
+    plans = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("8", "80000"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        plan = customer_journey(t)._jdf.queryExecution().executedPlan().toString()
+        plans.append(re.findall(r"[+:]- *([A-Z]\w+)", plan))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert plans[0] == plans[1] and "WindowGroupLimit" in plans[0]
