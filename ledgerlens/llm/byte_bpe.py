@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import common
 from ledgerlens.llm.textscan import Texts, slices, span_hashes, units
 
-BUCKETS = 65_521  #: of the literal rank map, so that a look-up sees a few entries
+BUCKETS = 16_381  #: of the literal rank map, so that a look-up sees a few entries
 SHIFT, SPREAD = 1 << 20, 40_503
 #: Unicode white space, which is what the pattern's \\s means.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -57,40 +57,46 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def fold_merges(word: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of a word, an array of its bytes (0 to 255)."""
-    table = rank_map(ranks)
+def fold_merges(spans: Column, ranks: dict[bytes, int]) -> Column:
+    """Ids of each span: an array of words, each an array of its bytes (0 to 255)."""
     single = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
     none = F.array().cast("array<int>")
 
-    def rank(a: Column, b: Column) -> Column:
-        a = a.cast("long")
-        return F.get(table, ((a * SPREAD + b) % BUCKETS).cast("int"))[a * SHIFT + b]
+    def all_words(table: Column, byte: Column) -> Column:
+        def rank(a: Column, b: Column) -> Column:
+            a = a.cast("long")
+            return F.get(table, ((a * SPREAD + b) % BUCKETS).cast("int"))[a * SHIFT + b]
 
-    def step(state: Column, _: Column) -> Column:
-        ids, rates = state["ids"], state["rates"]
+        def step(state: Column, _: Column) -> Column:
+            ids, rates = state["ids"], state["rates"]
 
-        def merge(least: Column) -> Column:
-            def at(p: Column) -> Column:
-                new = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(least), F.slice(ids, p + 2, F.size(ids)))
-                left = F.when(p > 1, F.array(rank(F.get(ids, p - 2), least))).otherwise(none)
-                right = F.when(p < F.size(rates), F.array(rank(least, F.get(ids, p + 1)))).otherwise(none)
-                return F.struct(new.alias("ids"),
-                                F.concat(F.slice(rates, F.lit(1), F.greatest(p - 2, F.lit(0))), left, right,
-                                         F.slice(rates, p + 2, F.size(rates))).alias("rates"))
+            def merge(least: Column) -> Column:
+                def at(p: Column) -> Column:
+                    new = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(least), F.slice(ids, p + 2, F.size(ids)))
+                    left = F.when(p > 1, F.array(rank(F.get(ids, p - 2), least))).otherwise(none)
+                    right = F.when(p < F.size(rates), F.array(rank(least, F.get(ids, p + 1)))).otherwise(none)
+                    return F.struct(new.alias("ids"),
+                                    F.concat(F.slice(rates, F.lit(1), F.greatest(p - 2, F.lit(0))), left, right,
+                                             F.slice(rates, p + 2, F.size(rates))).alias("rates"))
 
-            return F.when(least.isNull(), state).otherwise(_let(F.array_position(rates, least).cast("int"), at))
+                return F.when(least.isNull(), state).otherwise(_let(F.array_position(rates, least).cast("int"), at))
 
-        return _let(F.array_min(rates), merge)
+            return _let(F.array_min(rates), merge)
 
-    def folded(ids: Column) -> Column:
-        more = F.size(ids) - 1
-        rates = F.zip_with(F.slice(ids, F.lit(1), more), F.slice(ids, F.lit(2), more), rank)
-        return F.aggregate(F.slice(ids, F.lit(2), more), F.struct(ids.alias("ids"), rates.alias("rates")),
-                           step, lambda s: s["ids"])
+        def folded(ids: Column) -> Column:
+            more = F.size(ids) - 1
+            rates = F.zip_with(F.slice(ids, F.lit(1), more), F.slice(ids, F.lit(2), more), rank)
+            return F.aggregate(F.slice(ids, F.lit(2), more), F.struct(ids.alias("ids"), rates.alias("rates")),
+                               step, lambda s: s["ids"])
 
-    first = F.transform(word, lambda b: F.get(single, b.cast("int")))
-    return F.when(F.size(word) < 2, first).otherwise(_let(first, folded))
+        def one(word: Column) -> Column:
+            first = F.transform(word, lambda b: F.get(byte, b.cast("int")))
+            return F.when(F.size(word) < 2, first).otherwise(_let(first, folded))
+
+        return F.transform(spans, lambda words: F.flatten(F.transform(words, one)))
+
+    # Bound once, so that the plan holds the literals once.
+    return _let(rank_map(ranks), lambda table: _let(single, lambda byte: all_words(table, byte)))
 
 
 def _split(spans: list[bytes], match: regex.Pattern) -> pa.Array:
@@ -103,60 +109,69 @@ def _split(spans: list[bytes], match: regex.Pattern) -> pa.Array:
     return pa.ListArray.from_arrays(offsets([len(ws) for ws in words]), inner)
 
 
-def _span_counts(batches: Iterator[pa.RecordBatch], pattern: str, flush: int = 32 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows (span, words, n) of the spans found twice or more, about every ``flush`` bytes."""
-    match = regex.compile(exact_pattern(pattern))
-    held: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
+def _span_counts(batches: Iterator[pa.RecordBatch], flush: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows (hash, span, n) of the distinct spans, about every ``flush`` bytes."""
+    hashes: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    spans: list[pa.Array] = []
     size = 0
 
     def out() -> pa.RecordBatch:
-        hashes, count = np.concatenate([h for h, _, _ in held]), np.concatenate([c for _, c, _ in held])
-        spans = [s for _, _, part in held for s in part]
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        total = np.bincount(inverse, count).astype(np.int64)
-        some = total >= 2
-        chosen = [spans[i] for i in first[some].tolist()]
-        return pa.RecordBatch.from_arrays([pa.array(chosen, pa.binary()), _split(chosen, match), pa.array(total[some])],
-                                          ["span", "words", "n"])
+        found, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        total = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.view(np.int64)), pa.concat_arrays(spans).take(pa.array(first)), pa.array(total)],
+            ["hash", "span", "n"])
 
     for batch in batches:
         for a, b in slices(batch.column(1)):
             u = units(Texts.of(batch.column(1).slice(a, b - a)))
             h, first, count = np.unique(span_hashes(u.texts.data, u.begin, u.end), return_index=True, return_counts=True)
-            data = u.texts.data.tobytes()
-            held.append((h, count, [data[i:j] for i, j in zip(u.begin[first].tolist(), u.end[first].tolist())]))
-            size += len(data)
+            # Spans cover the texts, so their ends are the offsets of a binary array.
+            at = np.append(u.begin, len(u.texts.data)).astype(np.int32)
+            every = pa.Array.from_buffers(pa.binary(), len(u.begin), [None, pa.py_buffer(at), pa.py_buffer(u.texts.data)])
+            hashes.append(h)
+            counts.append(count)
+            spans.append(every.take(pa.array(first)))
+            size += len(u.texts.data)
             if size >= flush:
                 yield out()
-                held, size = [], 0
-    if held:
+                hashes, counts, spans, size = [], [], [], 0
+    if hashes:
         yield out()
 
 
+def _span_words(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
+    match = regex.compile(exact_pattern(pattern))
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), _split(batch.column(1).to_pylist(), match)], ["hash", "words"])
+
+
 def dictionary(texts: DataFrame, ranks: dict[bytes, int], pattern: str, limit: int):
     """Sorted span hashes, and their ids, of at most ``limit`` frequent spans."""
-    counted = texts.mapInArrow(lambda it: _span_counts(it, pattern),
-                               "span binary, words array<array<smallint>>, n long")
-    total = common.written(counted.groupBy("span").agg(F.sum("n").alias("n"), F.any_value("words").alias("words")),
-                           "spans")
+    counted = texts.mapInArrow(_span_counts, "hash long, span binary, n long")
+    total = common.written(counted.groupBy("hash").agg(F.sum("n").alias("n"), F.any_value("span").alias("span"))
+                           .where("n > 1"), "spans")
     # The least count that keeps the dictionary within its limit.
-    by_count = total.groupBy("n").count().withColumn("n", F.least("n", F.lit(10_000))).groupBy("n").agg(
-        F.sum("count").alias("spans")).orderBy(F.desc("n")).collect()  # at most 10,000 rows
+    by_count = (total.select(F.least("n", F.lit(10_000)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("spans"))
+                .orderBy(F.desc("n")).collect())  # at most 10,000 rows
     least, room = 10_001, limit
     for row in by_count:
         if row["spans"] > room:
             break
         least, room = row["n"], room - row["spans"]
-    folded = (total.where(F.col("n") >= least)
-              .select("span", F.flatten(F.transform("words", lambda w: fold_merges(w, ranks))).alias("ids"))).toArrow()
+    words = (total.where(F.col("n") >= least).select("hash", "span")
+             .mapInArrow(lambda it: _span_words(it, pattern), "hash long, words array<array<smallint>>"))
+    folded = words.select("hash", fold_merges(F.array("words"), ranks)[0].alias("ids")).toArrow().combine_chunks()
     common.drop_written(total)
-    spans = folded.column(0).to_pylist()
-    at = np.concatenate(([0], np.cumsum([len(s) for s in spans], dtype=np.int64)))
-    hashes = span_hashes(np.frombuffer(b"".join(spans), np.uint8), at[:-1], at[1:])
-    ids = folded.column(1).combine_chunks() if len(spans) else pa.array([], pa.list_(pa.int32()))
+    if not len(folded):
+        return np.zeros(0, np.uint64), np.zeros(1, np.int32), np.zeros(0, np.uint16)
+    hashes = folded.column(0).chunk(0).to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    ids = ids.take(pa.array(order))
-    return hashes[order], np.asarray(ids.offsets).astype(np.int64), np.asarray(ids.flatten()).astype(np.uint32)
+    ids = folded.column(1).chunk(0).take(pa.array(order))
+    flat = np.asarray(ids.flatten())
+    kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
+    return hashes[order], np.asarray(ids.offsets).astype(np.int32), flat.astype(kind)
 
 
 def _look_up(batches: Iterator[pa.RecordBatch], pattern: str, known: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -211,7 +226,7 @@ def _assemble(batches: Iterator[pa.RecordBatch], at: np.ndarray, flat: np.ndarra
                     ["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, limit: int = 1 << 20, text: str = "text",
+def encode(docs: DataFrame, path: str, pattern: str, limit: int = 3 << 19, text: str = "text",
            key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array<int>).
 
@@ -229,8 +244,7 @@ def encode(docs: DataFrame, path: str, pattern: str, limit: int = 1 << 20, text:
     rows = texts.mapInArrow(
         lambda it: _look_up(it, pattern, held.value[0]),
         "doc_ids array<long>, spans array<int>, slots array<int>, words array<array<array<smallint>>>")
-    rows = rows.select("doc_ids", "spans", "slots", F.transform(
-        "words", lambda ws: F.flatten(F.transform(ws, lambda w: fold_merges(w, ranks)))).alias("ids"))
+    rows = rows.select("doc_ids", "spans", "slots", fold_merges(F.col("words"), ranks).alias("ids"))
     return rows.mapInArrow(lambda it: _assemble(it, held.value[1], held.value[2]), "doc_id long, ids array<int>")
 
 
