@@ -41,6 +41,38 @@ def test_nn_descent(spark):
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
 
 
+def brute(vectors, label, threshold=0.98):
+    """The number of links of each vector, and its component."""
+    x = np.array(vectors)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    link = (x @ x.T >= threshold) & (np.array(label)[:, None] == np.array(label)[None, :])
+    np.fill_diagonal(link, False)
+    return link.sum(1).tolist(), X.components(range(len(x)), [tuple(p) for p in np.argwhere(link).tolist()])
+
+
+def vector_table(spark, vectors, label):
+    return spark.createDataFrame([(i, [float(e) for e in v], c) for i, (v, c) in enumerate(zip(vectors, label))],
+                                 "vec_id long, embedding array<double>, label int")
+
+
+def test_nn_descent_joins_groups_whose_lists_are_full_of_their_own(spark):
+    rng = np.random.default_rng(6)
+    vectors = list(rng.standard_normal((100, 64)))
+    for _ in range(3):  # two groups of 20 closer copies each, all links across just over the threshold
+        a, b = rng.standard_normal((2, 64))
+        a /= np.linalg.norm(a)
+        b -= a * (a @ b)
+        b = 0.984 * a + np.sqrt(1 - 0.984 ** 2) * b / np.linalg.norm(b)
+        vectors += [c + 0.0005 * rng.standard_normal(64) for c in (a, b) for _ in range(20)]
+    label = [0] * len(vectors)
+    n_links, component = brute(vectors, label)
+    assert n_links[100:] == [39] * 120
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(vector_table(spark, vectors, label)).collect()}
+    assert [got[i].n_links for i in range(len(vectors))] == n_links
+    assert {i: r.component_id for i, r in got.items()} == component
+    assert [i for i in got if got[i].kept] and all(r.kept == (r.vec_id == component[r.vec_id]) for r in got.values())
+
+
 def test_url_lists(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
     events = [("block", "domain", "bad.example.com", "add", 5), ("block", "domain", "bad.example.com", "add", 7),
