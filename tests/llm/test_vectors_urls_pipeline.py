@@ -73,6 +73,24 @@ def test_nn_descent_joins_groups_whose_lists_are_full_of_their_own(spark):
     assert [i for i in got if got[i].kept] and all(r.kept == (r.vec_id == component[r.vec_id]) for r in got.values())
 
 
+def test_nn_descent_finds_lone_pairs_of_a_large_label(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = list(rng.standard_normal((3000, 16)))
+    vectors += [v + 0.15 * np.linalg.norm(v) / 4 * rng.standard_normal(16) for v in vectors[:400]]
+    label = [0] * len(vectors)
+    n_links, component = brute(vectors, label)
+    assert sum(n_links) > 400
+    df = vector_table(spark, vectors, label)
+    small = {"k": 2, "block": 4, "most_rounds": 1, "audit_every": 1}  # blocks as far below the label as in large tables
+    out = nn_descent.near_duplicates(df, **small).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {i: (n, component[i]) for i, n in enumerate(n_links)}
+    assert nn_descent._codes_for(10 ** 9, 0.98, 256, 8, 8, 0.001)[1] == 22
+    monkeypatch.setattr(nn_descent, "_start", lambda objects, *_: objects.selectExpr("id AS u", "id AS v", "0D AS cos").limit(0))
+    monkeypatch.setattr(nn_descent, "_crossing", lambda objects, *_: objects.selectExpr("id AS a", "id AS b").limit(0))
+    with pytest.raises(RuntimeError, match="audited links"):
+        nn_descent.near_duplicates(df, **small, most_passes=1)
+
+
 def test_url_lists(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
     events = [("block", "domain", "bad.example.com", "add", 5), ("block", "domain", "bad.example.com", "add", 7),
