@@ -19,8 +19,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the fertility bands."""
-    return fertility.keep_passing(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """Documents that pass the base rules and the fertility bands, whose lower
+    limits are quantiles of all documents."""
+    return fertility.keep_passing(docs, public_tokenizers.path("piece_bpe_32k.model"), low=0.05,
+                                  basis=common.read_table(spark, sf_dir, "documents"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

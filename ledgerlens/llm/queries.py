@@ -27,7 +27,8 @@ def op2_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and fertility rules of ``documents``."""
-    return fertility.apply_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return fertility.apply_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                                 low=0.05)
 
 
 def op4_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,20 @@
 
 import hashlib
 import itertools
+import os
 import zlib
 from collections import Counter
 
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import (byte_bpe, fertility, gam_quality, license_scan, packing, sharding, signature_join,
                             toxicity_kn)
+from ledgerlens.llm import queries as Q
 from tests.llm import fixtures as X
 
+SF = "/root/testdata/sf0.1"
 ROWS = X.rows()
 
 
@@ -152,6 +156,27 @@ def test_fertility_rules(spark, docs, empty, odd):
     assert not any(r.kept for r in tight.join(docs.select("doc_id", "lang"), "doc_id").where("lang = 'en'").collect())
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_fertility_floors_catch_bad_texts(spark):
+    """The bands of a language, from its own texts, reject what the base rules let pass."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = Q.op3_tokeniser_fertility(spark, SF).persist()
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    seen = out.where("NOT base_failed").join(labels, "doc_id")
+    share = {r.quality: r.lost for r in seen.groupBy("quality").agg(F.avg((~F.col("kept")).cast("int")).alias("lost")).collect()}
+    assert share[0] > 0.4 and share[1] < 0.03
+    path = P.path("piece_bpe_32k.model")
+    limits = fertility.floors(fertility._traits(docs, path, "sentencepiece", frozenset(range(3, 259)), None, 50, 50, "text",
+                                                "doc_id", "lang"), 0.05, 100).collect()
+    assert {r.place for r in limits} == {f"lang {x}" for x in ("en", "fr", "de", "es")}
+    for place in {r.place for r in limits}:
+        rising = [r.floor_entropy for r in sorted(limits, key=lambda r: r.step) if r.place == place]
+        assert rising == sorted(rising) and rising[-1] > rising[0]
+    kept = fertility.keep_passing(docs, path, low=0.05)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in out.where("kept").collect())
+
+
 def test_shards(spark, docs, empty, odd):
     out = sharding.shard_documents(docs, shards=7, block=5).collect()
     assert sorted(r.doc_id for r in out) == [i for i, _ in ROWS]
