@@ -5,7 +5,9 @@ bigrams of the class; below them words of the class, by the number of texts
 that they occur in (continuation counts, the contexts being texts); below
 those shared backoff counts, the same for both classes: in how many documents
 of the whole corpus a word occurs.  An expression that neither
-class has seen gets nearly the same probability from both.
+class has seen gets nearly the same probability from both: there the shared
+count is a factor of either and leaves the ratio, so words that no labelled
+text of the sample holds are counted together, not one by one.
 
 A text is compared by the mean log-likelihood ratio of its words, and of its
 most toxic runs of words, so length does not decide.  A logistic curve, fitted
@@ -177,7 +179,10 @@ def _document_counts(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> It
             owner = np.repeat(np.arange(len(of) - 1, dtype=np.int64), np.diff(of))
             kinds = np.unique(owner[known] * len(words) + k[known]) if len(words) else np.zeros(0, np.int64)
             counts[:-1] += np.bincount(kinds % max(len(words), 1), minlength=len(words))
-            counts[-1] += int((~known).sum())
+            other, by = hashes[~known], owner[~known]
+            order = np.lexsort((other, by))
+            other, by = other[order], by[order]
+            counts[-1] += min(len(other), 1) + int(((other[1:] != other[:-1]) | (by[1:] != by[:-1])).sum())
     at = np.flatnonzero(counts)
     for i in range(0, len(at), 100_000):
         part = at[i: i + 100_000]

@@ -278,6 +278,29 @@ def test_toxicity_on_held_out_rows(spark, tables, empty, odd):
     assert {r.score for r in toxicity_kn.score_toxicity(odd, labels.limit(0)).collect()} == {0.0}
 
 
+def test_shared_counts_are_of_texts():
+    """Other words count once a text each, as the words of the sample do."""
+    import numpy as np
+    import pyarrow as pa
+    from ledgerlens.llm.textscan import Texts
+    words, _ = toxicity_kn.word_hashes(Texts.of(pa.array(["known"])))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array(
+        ["known rare rare rare", "rare known Known odd rare", "", "odd"])], ["doc_id", "text"])
+    (out,) = toxicity_kn._document_counts(iter([batch]), words)
+    assert dict(zip(out.column(0).to_pylist(), out.column(1).to_pylist())) == {0: 2, 1: 4}
+    # The shared count of a word that neither class has seen leaves the ratio.
+    rng = np.random.default_rng(3)
+    seen = np.sort(rng.integers(1, 2 ** 60, 40).astype(np.uint64))
+    toxic, ordinary = (toxicity_kn.fit_class([(w, toxicity_kn.windows(w, 2)) for w in (rng.choice(seen, 30) for _ in range(9))])
+                       for _ in range(2))
+    word = np.concatenate([rng.integers(2 ** 61, 2 ** 62, 20).astype(np.uint64), seen[:5]])
+    before = np.concatenate([seen[:20], seen[5:10]])
+    pair = toxicity_kn.windows(np.stack([before, word], 1).reshape(-1), 2)[::2]
+    ratios = [toxicity_kn.Scorer(toxic, ordinary, seen, np.full(40, 0.01), rest).ratios(word, before, pair)
+              for rest in (0.5, 1e-9)]
+    assert np.allclose(*ratios)
+
+
 def test_class_model_is_a_distribution():
     """Bigram probabilities over the vocabulary sum to one after a known word."""
     import numpy as np
