@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of at most 2048."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=0)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=0, special=True)
 
 
 STAGES = [

@@ -8,18 +8,20 @@ one small group has been packed or a round no longer helps.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
 from ledgerlens.llm.textscan import Texts, slices, units
-from ledgerlens.llm.vocabulary import span_cache
+from ledgerlens.llm.vocabulary import SpanCache, added_tokens, span_cache
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -28,15 +30,41 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, size) for s in range(first, n, size))]
 
 
+def _encoded(column: pa.Array, cache: SpanCache) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts in a row, and where each text's begin and end."""
+    texts = Texts.of(column)
+    spans = units(texts)
+    ids, count = cache.ids(texts.data, spans.begin, spans.end)
+    return ids, np.concatenate(([0], np.cumsum(count)))[spans.of]
+
+
+def _encoded_around(column: pa.Array, cache: SpanCache, added: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The same, where the strings of ``added`` are tokens of their own: the
+    text is cut at them first, the longest where several begin."""
+    if not any(pc.any(pc.match_substring(column, token)).as_py() for token in added):
+        return _encoded(column, cache)
+    at = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    cuts = [at.split(text or "") for text in column.to_pylist()]
+    ids, total = _encoded(pa.array([part for parts in cuts for part in parts[::2]], column.type), cache)
+    out, ends, k = [], [0], 0
+    for parts in cuts:
+        for i, part in enumerate(parts):
+            if i % 2:
+                out.append(np.array([added[part]], ids.dtype))
+            else:
+                out.append(ids[total[k]: total[k + 1]])
+                k += 1
+        ends.append(ends[-1] + sum(map(len, out[-len(parts):])))
+    return np.concatenate(out), np.array(ends)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int,
-            with_ids: bool) -> Iterator[pa.RecordBatch]:
+            with_ids: bool, special: bool) -> Iterator[pa.RecordBatch]:
     cache = span_cache("tokenizers", path)
+    added = added_tokens(path) if special else {}
     for batch in batches:
         for a, b in slices(batch.column(1)):
-            texts = Texts.of(batch.column(1).slice(a, b - a))
-            spans = units(texts)
-            ids, count = cache.ids(texts.data, spans.begin, spans.end)
-            total = np.concatenate(([0], np.cumsum(count)))[spans.of]
+            ids, total = _encoded_around(batch.column(1).slice(a, b - a), cache, added)
             rows: list[tuple] = []
             doc_ids = batch.column(0).slice(a, b - a).to_pylist()
             for doc_id, s, e in zip(doc_ids, total[:-1].tolist(), total[1:].tolist()):
@@ -128,20 +156,22 @@ def place(items: DataFrame, size: int, group: int = 4096, slack: int = 16, max_r
 
 
 def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 0, with_ids: bool = False,
-         text: str = "text", key: str = "doc_id", **how) -> DataFrame:
+         text: str = "text", key: str = "doc_id", special: bool = False, **how) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset, and the ids themselves if ``with_ids``.
 
     A text's ids, ended by ``end_id``, are cut only if longer than ``size``.
     Null and empty texts are one piece with the end id alone.  Every row of a
     repeated doc_id, or of a null one, is packed; pieces of repeated rows
-    differ in their places.  Other columns are ignored.  An empty table gives
+    differ in their places.  With ``special``, the strings of the vocabulary's
+    added tokens become their ids, as in the library without
+    ``encode_special_tokens``.  Other columns are ignored.  An empty table gives
     an empty result.
     """
     texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
                                              F.col(text).cast("string").alias("text")))
     pieces = texts.mapInArrow(
-        lambda it: _pieces(it, path, end_id, size, with_ids),
+        lambda it: _pieces(it, path, end_id, size, with_ids, special),
         "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>")
     pieces = common.written(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
     placed = place(pieces.select("item", "length"), size, **how)

@@ -22,7 +22,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` in sequences of at most 2048 tokens."""
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                        size=2048, end_id=0)
+                        size=2048, end_id=0, special=True)
 
 
 def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:

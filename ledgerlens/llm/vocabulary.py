@@ -18,7 +18,7 @@ def byte_bpe_json(path: str) -> Encode:
     Spans go to the library's pre-tokeniser many at a time, one a line, and
     each distinct piece to its model; whole encodings of short spans cost much
     more.  A span with white space other than one leading space goes alone.
-    Special tokens' strings in a text are ordinary text.
+    Added tokens' strings are ordinary text here; see ``added_tokens``.
     """
     from tokenizers import Tokenizer
 
@@ -53,6 +53,18 @@ def byte_bpe_json(path: str) -> Encode:
     return encode
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The strings that the tokenizers library cuts out of a text before all
+    else, and their ids."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("the vocabulary's added tokens look at the text around them")
+    return {t["content"]: t["id"] for t in added}
+
+
 def sentence_pieces(path: str) -> Encode:
     """A model file of the sentencepiece library."""
     import sentencepiece

@@ -110,6 +110,25 @@ def test_packing(docs, empty, odd):
     assert packing.pack(odd, path).count() == 7
 
 
+def test_packing_of_added_tokens(spark, tmp_path):
+    """The query's ids are the library's, added tokens' strings included."""
+    from tokenizers import Tokenizer
+    path = P.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    end = "<|endoftext|>"
+    data = list(enumerate(["a <|endoftext|> b", end, end + end, None, "", "plain text", f"x{end}'s\n {end}\n", "<|endoftext|", f" {end} ",
+                           f"<|{end}|>é日", "word " * 300 + end + " word" * 900]))
+    ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in data}
+    docs = X.documents(spark, data)
+    out = packing.pack(docs, path, size=512, with_ids=True, special=True).collect()
+    assert {(r.doc_id, r.piece): r.ids for r in out} == {
+        (i, k): x[a: a + n] for i, x in ids.items() for k, (a, n) in enumerate(packing.cut(len(x), 512))}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.start, r.length): r.ids_crc32 for r in Q.op2_residual_packing(spark, str(tmp_path)).collect()}
+    assert got == {(i, 0, len(x)): zlib.crc32(b"".join(e.to_bytes(4, "little") for e in x)) for i, x in ids.items()}
+
+
 def test_best_fit_is_tight():
     where, offset = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert max(where) == 1 and sorted(offset) == [0, 0, 5, 6, 8]
