@@ -21,13 +21,45 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import common
 
 
+#: numpy draws from fewer than this.
+NUMPY_BELOW = 1_000_000_000
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` drawn from ``good + bad`` are good, by inversion: the
+    law's values around its mode, from the ratios of neighbours.  Beyond 12
+    deviations and 50 there is less than a double resolves."""
+    least, most = max(0, n - bad), min(n, good)
+    mode = min(max((n + 1) * (good + 1) // (good + bad + 2), least), most)
+    share = good / (good + bad)
+    width = int(12 * (n * share * (1 - share) * (good + bad - n) / max(good + bad - 1, 1)) ** 0.5) + 50
+    k = np.arange(max(least, mode - width), min(most, mode + width) + 1)
+    up = np.log((good - k[:-1]) / (k[:-1] + 1)) + np.log((n - k[:-1]) / (bad - n + k[:-1] + 1))
+    weight = np.concatenate(([0.0], np.cumsum(up)))
+    upto = np.cumsum(np.exp(weight - weight.max()))
+    return int(k[min(np.searchsorted(upto, rng.random() * upto[-1], "right"), len(k) - 1)])
+
+
+def split(rng: np.random.Generator, left: np.ndarray, n: int, below: int = NUMPY_BELOW) -> np.ndarray:
+    """``n`` drawn from columns of ``left``: halves of the columns first, until
+    numpy's own draw takes what is there."""
+    if n == 0 or len(left) == 1:
+        return np.full(len(left), n, np.int64)
+    if left.sum() < below:
+        return rng.multivariate_hypergeometric(left, n, method="marginals")
+    half = len(left) // 2
+    good, bad = int(left[:half].sum()), int(left[half:].sum())
+    first = hypergeometric(rng, good, bad, n)
+    return np.concatenate((split(rng, left[:half], first, below), split(rng, left[half:], n - first, below)))
+
+
 def communication_matrix(rows: np.ndarray, columns: np.ndarray, seed: int) -> np.ndarray:
     """Counts with these row and column sums, as a uniform shuffle has them."""
     rng = np.random.default_rng(seed)
     left = columns.astype(np.int64).copy()
     out = np.zeros((len(rows), len(columns)), np.int64)
     for i, n in enumerate(rows.tolist()):
-        out[i] = rng.multivariate_hypergeometric(left, n, method="marginals")
+        out[i] = split(rng, left, n)
         left -= out[i]
     return out
 

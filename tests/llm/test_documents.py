@@ -226,6 +226,25 @@ def test_shuffle_is_uniform(spark):
     assert m.sum(1).tolist() == [5, 0, 7] and m.sum(0).tolist() == [4, 4, 4]
 
 
+def test_matrix_of_billions_of_rows():
+    import math
+
+    import numpy as np
+    rows, columns = np.array([6, 0, 30, 14, 50]) * 10 ** 8, np.array([33, 7, 40, 0, 20]) * 10 ** 8
+    m = sharding.communication_matrix(rows, columns, 1)
+    assert (m.sum(1) == rows).all() and (m.sum(0) == columns).all() and (m >= 0).all()
+    share = np.outer(rows / rows.sum(), columns / columns.sum())
+    spread = np.sqrt(rows.sum() * share * np.outer(1 - rows / rows.sum(), 1 - columns / columns.sum()))
+    assert (abs(m - rows.sum() * share) <= 6 * spread + 1e-9).all() and (m != np.rint(rows.sum() * share)).any()
+    rng = np.random.default_rng(5)  # the law itself, in halves down to single columns
+    left, n, draws = np.array([3, 4, 0, 2]), 4, 6000
+    seen = Counter(tuple(sharding.split(rng, left, n, below=0).tolist()) for _ in range(draws))
+    want = {c: draws * math.prod(map(math.comb, left.tolist(), c)) / math.comb(9, n)
+            for c in itertools.product(range(4), range(5), range(1), range(3)) if sum(c) == n}
+    assert seen.keys() <= want.keys()
+    assert sum((seen[c] - e) ** 2 / e for c, e in want.items()) < 2.5 * len(want)
+
+
 def test_byte_bpe(docs, empty, odd):
     import tiktoken
     path = P.path("byte_bpe_50k.tiktoken")
