@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
-from ledgerlens.llm.textscan import Texts, slices, span_hashes, units
+from ledgerlens.llm.textscan import Blocks, Texts, distinct_spans, slices, span_hashes, units
 
 BUCKETS = 16_381  #: of the literal rank map, so that a look-up sees a few entries
 SHIFT, SPREAD = 1 << 20, 40_503
+LONGEST = 48  #: bytes of a span in the dictionary
 #: Unicode white space, which is what the pattern's \\s means.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -110,81 +112,93 @@ def _split(spans: list[bytes], match: regex.Pattern) -> pa.Array:
 
 
 def _span_counts(batches: Iterator[pa.RecordBatch], flush: int = 32 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows (hash, span, n) of the distinct spans, about every ``flush`` bytes."""
-    hashes: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
-    spans: list[pa.Array] = []
+    """Rows (span, n) of the distinct spans, about every ``flush`` bytes."""
+    held: list[pa.Table] = []
     size = 0
 
-    def out() -> pa.RecordBatch:
-        found, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.concat_arrays(spans).take(pa.array(first)), pa.array(total)],
-            ["hash", "span", "n"])
+    def out() -> Iterator[pa.RecordBatch]:
+        total = pa.concat_tables(held).group_by("span").aggregate([("n", "sum")])
+        yield from total.select(["span", "n_sum"]).rename_columns(["span", "n"]).to_batches()
 
     for batch in batches:
         for a, b in slices(batch.column(1)):
             u = units(Texts.of(batch.column(1).slice(a, b - a)))
-            h, first, count = np.unique(span_hashes(u.texts.data, u.begin, u.end), return_index=True, return_counts=True)
+            first, _, count = distinct_spans(u.texts.data, u.begin, u.end)
             # Spans cover the texts, so their ends are the offsets of a binary array.
             at = np.append(u.begin, len(u.texts.data)).astype(np.int32)
             every = pa.Array.from_buffers(pa.binary(), len(u.begin), [None, pa.py_buffer(at), pa.py_buffer(u.texts.data)])
-            hashes.append(h)
-            counts.append(count)
-            spans.append(every.take(pa.array(first)))
+            held.append(pa.table({"span": every.take(pa.array(first)), "n": count.astype(np.int64)}))
             size += len(u.texts.data)
             if size >= flush:
-                yield out()
-                hashes, counts, spans, size = [], [], [], 0
-    if hashes:
-        yield out()
+                yield from out()
+                held, size = [], 0
+    if held:
+        yield from out()
 
 
 def _span_words(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
     match = regex.compile(exact_pattern(pattern))
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), _split(batch.column(1).to_pylist(), match)], ["hash", "words"])
-
-
-def dictionary(texts: DataFrame, ranks: dict[bytes, int], pattern: str, limit: int):
-    """Sorted span hashes, and their ids, of at most ``limit`` frequent spans."""
-    counted = texts.mapInArrow(_span_counts, "hash long, span binary, n long")
-    total = common.written(counted.groupBy("hash").agg(F.sum("n").alias("n"), F.any_value("span").alias("span"))
-                           .where("n > 1"), "spans")
-    # The least count that keeps the dictionary within its limit.
-    by_count = (total.select(F.least("n", F.lit(10_000)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("spans"))
-                .orderBy(F.desc("n")).collect())  # at most 10,000 rows
-    least, room = 10_001, limit
-    for row in by_count:
-        if row["spans"] > room:
+        yield pa.RecordBatch.from_arrays([batch.column(0), _split(batch.column(0).to_pylist(), match)], ["span", "words"])
+
+
+@dataclass
+class Known:
+    """The dictionary: spans in order of their hashes, and their ids."""
+
+    hashes: np.ndarray
+    span_at: np.ndarray
+    spans: np.ndarray
+    at: np.ndarray
+    flat: np.ndarray
+
+    def blocks(self) -> Blocks:
+        return Blocks.of(self.spans, self.span_at[:-1], self.span_at[1:])
+
+
+def dictionary(texts: DataFrame, ranks: dict[bytes, int], pattern: str, limit: int) -> Known:
+    """Frequent spans of at most ``LONGEST`` bytes, of at most ``limit`` bytes in all."""
+    counted = texts.mapInArrow(_span_counts, "span binary, n long")
+    total = common.written(counted.groupBy("span").agg(F.sum("n").alias("n"))
+                           .where((F.col("n") > 1) & (F.length("span") <= LONGEST)), "spans")
+    # The least class of counts that keeps the dictionary within its limit:
+    # every count up to 4,096 is a class, above that 64 to a doubling.
+    rate = F.when(F.col("n") <= 4096, F.col("n")).otherwise(4096 + F.floor(64 * F.log2(F.col("n") / 4096))).cast("long")
+    by_rate = (total.select(rate.alias("rate"), (3 * F.length("span") + 24).alias("size")).groupBy("rate")
+               .agg(F.sum("size").alias("size")).orderBy(F.desc("rate")).collect())  # a few thousand rows
+    least, room = 1 << 62, limit
+    for row in by_rate:
+        if row["size"] > room:
             break
-        least, room = row["n"], room - row["spans"]
-    words = (total.where(F.col("n") >= least).select("hash", "span")
-             .mapInArrow(lambda it: _span_words(it, pattern), "hash long, words array<array<smallint>>"))
-    folded = words.select("hash", fold_merges(F.array("words"), ranks)[0].alias("ids")).toArrow().combine_chunks()
+        least, room = row["rate"], room - row["size"]
+    words = (total.where(rate >= least).select("span")
+             .mapInArrow(lambda it: _span_words(it, pattern), "span binary, words array<array<smallint>>"))
+    folded = words.select("span", fold_merges(F.array("words"), ranks)[0].alias("ids")).toArrow().combine_chunks()
     common.drop_written(total)
+    kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
     if not len(folded):
-        return np.zeros(0, np.uint64), np.zeros(1, np.int32), np.zeros(0, np.uint16)
-    hashes = folded.column(0).chunk(0).to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
+        none = np.zeros(1, np.int64)
+        return Known(np.zeros(0, np.uint64), none, np.zeros(0, np.uint8), none, np.zeros(0, kind))
+    spans = Texts.of(folded.column(0).chunk(0))
+    order = np.argsort(span_hashes(spans.data, spans.at[:-1], spans.at[1:]))
+    spans = Texts.of(folded.column(0).chunk(0).take(pa.array(order)))
     ids = folded.column(1).chunk(0).take(pa.array(order))
-    flat = np.asarray(ids.flatten())
-    kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
-    return hashes[order], np.asarray(ids.offsets).astype(np.int32), flat.astype(kind)
+    return Known(span_hashes(spans.data, spans.at[:-1], spans.at[1:]), spans.at, spans.data,
+                 np.asarray(ids.offsets).astype(np.int64), np.asarray(ids.flatten()).astype(kind))
 
 
-def _look_up(batches: Iterator[pa.RecordBatch], pattern: str, known: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _look_up(batches: Iterator[pa.RecordBatch], pattern: str, known: Known) -> Iterator[pa.RecordBatch]:
     """A row per slice of texts: doc_ids, spans of each, their slots (the
     dictionary's, or -1 - the place among ``words``), the words of other spans."""
     match = regex.compile(exact_pattern(pattern))
+    held = known.blocks()
     for batch in batches:
         for a, b in slices(batch.column(1)):
             u = units(Texts.of(batch.column(1).slice(a, b - a)))
-            h, first, inverse = np.unique(span_hashes(u.texts.data, u.begin, u.end), return_index=True,
-                                          return_inverse=True)
-            slot = np.searchsorted(known, h)
-            new = known[np.minimum(slot, len(known) - 1)] != h if len(known) else np.ones(len(h), bool)
+            first, inverse, _ = distinct_spans(u.texts.data, u.begin, u.end)
+            own = Blocks.of(u.texts.data, u.begin[first], u.end[first])
+            slot = np.searchsorted(known.hashes, own.hashes())
+            new = ~own.equal(held, slot)
             slot[new] = -1 - np.arange(int(new.sum()))
             data = u.texts.data.tobytes()
             spans = [data[i:j] for i, j in zip(u.begin[first[new]].tolist(), u.end[first[new]].tolist())]
@@ -226,11 +240,11 @@ def _assemble(batches: Iterator[pa.RecordBatch], at: np.ndarray, flat: np.ndarra
                     ["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, limit: int = 3 << 19, text: str = "text",
+def encode(docs: DataFrame, path: str, pattern: str, limit: int = 96 << 20, text: str = "text",
            key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array<int>).
 
-    The dictionary holds at most ``limit`` spans, some tens of megabytes, for
+    The dictionary takes at most ``limit`` bytes, spans and ids together, for
     any input; spans beyond it are folded where they occur.  Null and empty
     texts have no ids.  Repeated rows give equal rows; other columns are
     ignored; an empty table gives an empty result.
@@ -239,13 +253,17 @@ def encode(docs: DataFrame, path: str, pattern: str, limit: int = 3 << 19, text:
     ranks = read_ranks(path)
     texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
                                              F.col(text).cast("string").alias("text")))
-    known, at, flat = dictionary(texts, ranks, pattern, limit)
-    held = spark.sparkContext.broadcast((known, at, flat))
+    held = common.send(spark, dictionary(texts, ranks, pattern, limit))
     rows = texts.mapInArrow(
-        lambda it: _look_up(it, pattern, held.value[0]),
+        lambda it: _look_up(it, pattern, common.received(held)),
         "doc_ids array<long>, spans array<int>, slots array<int>, words array<array<array<smallint>>>")
     rows = rows.select("doc_ids", "spans", "slots", fold_merges(F.col("words"), ranks).alias("ids"))
-    return rows.mapInArrow(lambda it: _assemble(it, held.value[1], held.value[2]), "doc_id long, ids array<int>")
+
+    def assemble(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = common.received(held)
+        return _assemble(it, known.at, known.flat)
+
+    return rows.mapInArrow(assemble, "doc_id long, ids array<int>")
 
 
 def decode(ids: Column, path: str) -> Column:

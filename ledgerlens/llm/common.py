@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 from pyspark import Broadcast, cloudpickle
@@ -47,11 +48,16 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def send(spark: SparkSession, model: object) -> Broadcast[bytes]:
-    """Broadcast an object of this package's classes by value: tasks use
-    ``pickle.loads`` on the bytes."""
+    """Broadcast an object of this package's classes by value: tasks take
+    it with ``received``."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
 
+def received(held: Broadcast[bytes]) -> object:
+    """What ``send`` sent, in a task."""
+    return pickle.loads(held.value)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links(a, b)``: one row ``(id, root)`` per
     linked id, ``root`` the smallest id that it reaches.

@@ -2,8 +2,9 @@
 
 Works on the UTF-8 bytes of a slice of an Arrow string column.  A word is a
 run of bytes other than space and ``\\x09``-``\\x0D``.  A 64-bit hash stands
-for a word: bytes are mapped to random 64-bit numbers, weighted by a power
-of an odd number for their place in the word, summed and mixed.
+for a word: every eight bytes are combined with a key of their place and mixed
+by shifts and products, so that no sum of byte values can cancel; the mixed
+blocks are added and mixed again with the length.
 """
 
 from __future__ import annotations
@@ -17,10 +18,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_RNG = np.random.default_rng(20240601)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  #: the low k bytes
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -34,13 +34,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def powers(n: int, step: np.uint64 = _STEP) -> np.ndarray:
-    out = np.full(n, step, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 @dataclass
 class Texts:
     """Bytes of consecutive texts: text i is ``data[at[i]:at[i + 1]]``."""
@@ -80,24 +73,81 @@ class Words:
     of: np.ndarray
 
     def hashes(self, lower: bool = True) -> np.ndarray:
-        return span_hashes(self.texts.data, self.begin, self.end, _LOWER if lower else _BYTE)
+        data = _LOWER[self.texts.data] if lower else self.texts.data
+        return span_hashes(data, self.begin, self.end)
 
     def text_of(self) -> np.ndarray:
         """The text number of each word."""
         return np.repeat(np.arange(len(self.of) - 1), np.diff(self.of))
 
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray,
-                table: np.ndarray = _BYTE) -> np.ndarray:
+@dataclass
+class Blocks:
+    """Spans as blocks of eight bytes, zeros after the last byte: span j has
+    ``value[at[j]:at[j + 1]]``."""
+
+    value: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def of(cls, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Blocks:
+        size = end - begin
+        count = (size + 7) >> 3
+        at = np.concatenate(([0], np.cumsum(count)))
+        done = 8 * (np.arange(at[-1]) - np.repeat(at[:-1], count))
+        padded = np.concatenate((data, np.zeros(8, np.uint8)))
+        every = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        value = every[np.repeat(begin, count) + done]
+        return cls(value & _KEEP[np.minimum(np.repeat(size, count) - done, 8)], at, size)
+
+    def hashes(self) -> np.ndarray:
+        """A hash for each span, none of them empty."""
+        count = np.diff(self.at)
+        if not len(count):
+            return np.zeros(0, np.uint64)
+        place = np.arange(self.at[-1]) - np.repeat(self.at[:-1], count)
+        key = mix(np.arange(1, int(count.max()) + 1, dtype=np.uint64) * _STEP)
+        mixed = mix(self.value ^ key[place])
+        return mix(np.add.reduceat(mixed, self.at[:-1]) + self.size.astype(np.uint64) * _WINDOW)
+
+    def equal(self, other: Blocks, at: np.ndarray) -> np.ndarray:
+        """Which spans have the very bytes of span ``at[j]`` of ``other`` (none, if there is no such span)."""
+        out = at < len(other.size)
+        out[out] = self.size[out] == other.size[at[out]]
+        same = np.flatnonzero(out)
+        count = np.diff(self.at)[same]
+        end = np.cumsum(count)
+        inside = np.arange(end[-1] if len(end) else 0) - np.repeat(end - count, count)
+        wrong = (self.value[np.repeat(self.at[same], count) + inside]
+                 != other.value[np.repeat(other.at[at[same]], count) + inside])
+        out[np.repeat(same, count)[wrong]] = False
+        return out
+
+
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash for each non-empty span ``data[begin[j]:end[j]]``."""
+    return Blocks.of(data, begin, end).hashes()
+
+
+def distinct_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first of each distinct non-empty span, in order, the number of each
+    span's among them, and how often each occurs.  Spans are compared by their
+    bytes; they come in order and do not overlap."""
     if not len(begin):
-        return np.zeros(0, np.uint64)
-    size = end - begin
-    at = np.concatenate(([0], np.cumsum(size)))
-    inside = np.arange(at[-1]) - np.repeat(at[:-1], size)
-    where = inside + np.repeat(begin, size)
-    value = table[data[where]] * powers(int(size.max()))[inside]
-    return mix(np.add.reduceat(value, at[:-1]) + size.astype(np.uint64) * _WINDOW)
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    gaps = bool((begin[1:] != end[:-1]).any())
+    at = np.stack((begin, end), 1).ravel() if gaps else np.append(begin, end[-1])
+    every = pa.Array.from_buffers(pa.large_binary(), len(at) - 1,
+                                  [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    inverse = every.dictionary_encode().indices.to_numpy()
+    if gaps:  # what lies between spans was encoded too
+        _, inverse = np.unique(inverse[::2], return_inverse=True)
+    times = np.bincount(inverse)
+    first = np.empty(len(times), np.int64)
+    first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+    return first, inverse, times
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -105,10 +155,10 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for weight, k in zip(powers(width, _WINDOW), range(width)):
-        out += hashes[k: k + n] * weight
-    return mix(out + np.uint64(width))
+    out = np.full(n, width, np.uint64)
+    for k in range(width):
+        out = mix(out * _STEP + hashes[k: k + n])
+    return out
 
 
 def slices(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:

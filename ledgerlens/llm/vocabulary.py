@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from ledgerlens.llm.textscan import span_hashes, worker_cache
+from ledgerlens.llm.textscan import distinct_spans, worker_cache
 
 Encode = Callable[[list[str]], list[list[int]]]
 
@@ -86,40 +86,46 @@ def rank_file(path: str, pattern: str) -> Encode:
 
 
 class SpanCache:
-    """Ids of spans by their hash; starts anew beyond ``limit`` spans."""
+    """Ids of spans by their bytes; starts anew beyond ``limit`` spans.  Spans
+    over ``longest`` bytes are encoded each time and not kept."""
 
-    def __init__(self, encode: Encode, limit: int = 1_000_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Encode, limit: int = 1_000_000, longest: int = 64):
+        self.encode, self.limit, self.longest = encode, limit, longest
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.slot: dict[bytes, int] = {}
         self.at, self.flat = array("q", [0]), array("i")
 
     def ids(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All spans' ids in order, and the number of ids of each span."""
         if not len(begin):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        found, first, inverse = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
-        if len(self.slot) + len(found) > self.limit:
+        first, inverse, _ = distinct_spans(data, begin, end)
+        if len(self.slot) + len(first) > self.limit:
             self._clear()
-        keys = found.tolist()
-        slot = self.slot
-        new = [i for i, k in enumerate(keys) if k not in slot]
+        raw = data.tobytes()
+        keys = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
+        known = list(map(self.slot.get, keys))
+        new = [i for i, s in enumerate(known) if s is None]
+        kept = len(self.at), len(self.flat)
         if new:
-            which = first[new]
-            spans = [data[a:b].tobytes().decode("utf-8", "replace")
-                     for a, b in zip(begin[which].tolist(), end[which].tolist())]
-            for i, ids in zip(new, self.encode(spans)):
-                slot[keys[i]] = len(self.at) - 1
+            new.sort(key=lambda i: len(keys[i]) > self.longest)  # those to forget come last
+            for i, ids in zip(new, self.encode([keys[i].decode("utf-8", "replace") for i in new])):
+                known[i] = len(self.at) - 1
                 self.flat.extend(ids)
                 self.at.append(len(self.flat))
-        slots = np.array([slot[k] for k in keys], np.int64)[inverse]
-        at, flat = np.array(self.at, np.int64), np.array(self.flat, np.int32)
+                if len(keys[i]) <= self.longest:
+                    self.slot[keys[i]] = known[i]
+                    kept = len(self.at), len(self.flat)
+        slots = np.array(known, np.int64)[inverse]
+        at, flat = np.frombuffer(self.at, np.int64), np.frombuffer(self.flat, np.int32)
         count = at[slots + 1] - at[slots]
         total = np.concatenate(([0], np.cumsum(count)))
-        where = np.arange(total[-1]) + np.repeat(at[slots] - total[:-1], count)
-        return flat[where], count
+        out = flat[np.arange(total[-1]) + np.repeat(at[slots] - total[:-1], count)]
+        del at, flat  # arrays cannot change while they are viewed
+        del self.at[kept[0]:], self.flat[kept[1]:]
+        return out, count
 
 
 def span_cache(kind: str, path: str, *more: str) -> SpanCache:
