@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from ledgerlens.llm import (
     byte_bpe, fertility, gam_quality, license_scan, nn_descent, packing, sharding, signature_join, toxicity_kn, url_lists,
-    whitening,
+    whitening, window_packing,
 )
 from ledgerlens.llm.common import read_table
 
@@ -100,6 +100,12 @@ def op10_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.judge(captures, url_events(captures))
 
 
+def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in windows of at most 2048 tokens, hardly padded."""
+    return window_packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                               size=2048, end_id=1)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``embeddings`` whitened along their first 16 components."""
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=16)
@@ -154,7 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_residual_packing, op3_tokeniser_fertility, op4_hypergeometric_shards,
         op5_additive_quality, op6_nn_descent, op7_signature_trees, op8_kneser_ney_toxicity, op9_merge_fold, op10_temporal_url_lists,
-        op13_embedding_whitening,
+        op12_window_packing, op13_embedding_whitening,
     )}
 
 

@@ -53,6 +53,33 @@ def byte_bpe_json(path: str) -> Encode:
     return encode
 
 
+def words_json(path: str) -> Encode:
+    """A vocabulary file of the tokenizers library whose pre-tokeniser drops
+    white space: words of a text, and added tokens' strings in them, are
+    encoded as in the whole text."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        if any(t.get("lstrip") or t.get("rstrip") or set(t["content"]) & set(" \t\n\v\f\r")
+               for t in json.load(f).get("added_tokens") or []):
+            raise ValueError("the vocabulary's added tokens take white space in")
+    tokenizer = Tokenizer.from_file(path)
+
+    def encode(words: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for a in range(0, len(words), 4096):
+            some = words[a: a + 4096]
+            done = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            at = np.searchsorted(np.array(done.word_ids, np.int64), np.arange(len(some) + 1)).tolist()
+            ids = done.ids
+            out += [ids[i:j] for i, j in zip(at[:-1], at[1:])]
+        return out
+
+    return encode
+
+
 def added_tokens(path: str) -> dict[str, int]:
     """The strings that the tokenizers library cuts out of a text before all
     else, and their ids."""
@@ -133,6 +160,6 @@ def span_cache(kind: str, path: str, *more: str) -> SpanCache:
     held = worker_cache()
     key = f"{kind} {path}"
     if key not in held:
-        make = {"tokenizers": byte_bpe_json, "sentencepiece": sentence_pieces, "tiktoken": rank_file}[kind]
+        make = {"tokenizers": byte_bpe_json, "words": words_json, "sentencepiece": sentence_pieces, "tiktoken": rank_file}[kind]
         held[key] = SpanCache(make(path, *more))
     return held[key]
