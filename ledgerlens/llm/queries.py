@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from ledgerlens.llm import (
-    byte_bpe, fertility, gam_quality, license_scan, nn_descent, packing, sharding, signature_join, toxicity_kn, url_lists,
-    whitening, window_packing,
+    byte_bpe, fertility, gam_quality, lexical_search, license_scan, nn_descent, packing, sharding, signature_join,
+    toxicity_kn, url_lists, whitening, window_packing,
 )
 from ledgerlens.llm.common import read_table
 
@@ -100,6 +100,37 @@ def op10_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.judge(captures, url_events(captures))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring ``documents`` of each ``benchmark`` item."""
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+counted AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT row, sum(tf)::BIGINT AS n FROM counted GROUP BY row),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), total),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, row, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (row), total
+  GROUP BY item_id, row)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
+
 def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` in windows of at most 2048 tokens, hardly padded."""
     return window_packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
@@ -160,9 +191,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_residual_packing, op3_tokeniser_fertility, op4_hypergeometric_shards,
         op5_additive_quality, op6_nn_descent, op7_signature_trees, op8_kneser_ney_toxicity, op9_merge_fold, op10_temporal_url_lists,
-        op12_window_packing, op13_embedding_whitening,
+        op11_lexical_search, op12_window_packing, op13_embedding_whitening,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_temporal_url_lists": OP10_SQL}
+    return {"op10_temporal_url_lists": OP10_SQL, "op11_lexical_search": OP11_SQL}
