@@ -76,6 +76,17 @@ class Words:
         data = _LOWER[self.texts.data] if lower else self.texts.data
         return span_hashes(data, self.begin, self.end)
 
+    def padded(self) -> Words:
+        """The words with the white space after them, and that before a text's
+        first: spans that cover the texts.  A text of white space is one."""
+        is_cut = np.zeros(len(self.texts.data) + 1, bool)
+        is_cut[self.begin] = True
+        some = np.diff(self.of) > 0
+        is_cut[self.begin[self.of[:-1][some]]] = False
+        is_cut[self.texts.at] = True
+        cuts = np.flatnonzero(is_cut)
+        return Words(self.texts, cuts[:-1], cuts[1:], np.searchsorted(cuts[:-1], self.texts.at))
+
     def text_of(self) -> np.ndarray:
         """The text number of each word."""
         return np.repeat(np.arange(len(self.of) - 1), np.diff(self.of))

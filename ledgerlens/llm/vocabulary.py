@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Callable
+from itertools import accumulate, chain, compress, islice
 
 import numpy as np
 
@@ -53,28 +55,72 @@ def byte_bpe_json(path: str) -> Encode:
     return encode
 
 
+#: Letters and signs that stand alone in every normal form: ASCII and the Latin-1 letters.
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+_SIMPLE_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if
+    it prints, else one of the letters from U+0100 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(other)}
+
+
 def words_json(path: str) -> Encode:
     """A vocabulary file of the tokenizers library whose pre-tokeniser drops
-    white space: words of a text, and added tokens' strings in them, are
-    encoded as in the whole text."""
+    white space: spans of a word and white space around it, and added tokens'
+    strings in them, are encoded as in the whole text.
+
+    Words of plain letters and signs are cut here and each distinct piece goes
+    to the library's model; any other span goes to the library whole.
+    """
     import json
 
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
-        if any(t.get("lstrip") or t.get("rstrip") or set(t["content"]) & set(" \t\n\v\f\r")
-               for t in json.load(f).get("added_tokens") or []):
-            raise ValueError("the vocabulary's added tokens take white space in")
+        spec = json.load(f)
+    added = [t["content"] for t in spec.get("added_tokens") or []]
+    if any(t.get("lstrip") or t.get("rstrip") or set(t["content"]) & set(" \t\n\v\f\r")
+           for t in spec.get("added_tokens") or []):
+        raise ValueError("the vocabulary's added tokens take white space in")
+    steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
+    split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    known = (steps == ["NFC", "Replace", "Lowercase"]
+             and split == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     tokenizer = Tokenizer.from_file(path)
+    model, letters = tokenizer.model.tokenize, byte_letters()
+    held: dict[str, list[int]] = {}
+
+    def new_piece(piece: str) -> list[int]:
+        if len(held) >= 1_000_000:
+            held.clear()
+        ids = [t.id for t in model("".join([letters[b] for b in piece.encode()]))]
+        if len(piece) <= 64:
+            held[piece] = ids
+        return ids
 
-    def encode(words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for a in range(0, len(words), 4096):
-            some = words[a: a + 4096]
-            done = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            at = np.searchsorted(np.array(done.word_ids, np.int64), np.arange(len(some) + 1)).tolist()
-            ids = done.ids
-            out += [ids[i:j] for i, j in zip(at[:-1], at[1:])]
+    def encode(spans: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[] for _ in spans]
+        words = [span.strip(" \t\n\v\f\r") for span in spans]
+        simple = [known and _SIMPLE.fullmatch(w) is not None and not ("<" in w and any(t in w for t in added)) for w in words]
+        get, i = held.get, -1
+        at = list(compress(range(len(words)), simple))
+        # One a line; the line feed is a piece that says that the next word begins.
+        for piece in _SIMPLE_PIECES.findall("\n" + "\n".join(compress(words, simple)).lower()) if at else ():
+            if piece == "\n":
+                i += 1
+                ids = out[at[i]]
+            else:
+                ids += get(piece) or new_piece(piece)
+        whole = [i for i, s in enumerate(simple) if not s]
+        for a in range(0, len(whole), 4096):
+            some = whole[a: a + 4096]
+            done = tokenizer.encode([spans[i] for i in some], is_pretokenized=True, add_special_tokens=False)
+            for i, k in zip(done.ids, done.word_ids):
+                out[some[k]].append(i)
         return out
 
     return encode
@@ -138,13 +184,15 @@ class SpanCache:
         kept = len(self.at), len(self.flat)
         if new:
             new.sort(key=lambda i: len(keys[i]) > self.longest)  # those to forget come last
-            for i, ids in zip(new, self.encode([keys[i].decode("utf-8", "replace") for i in new])):
-                known[i] = len(self.at) - 1
-                self.flat.extend(ids)
-                self.at.append(len(self.flat))
-                if len(keys[i]) <= self.longest:
-                    self.slot[keys[i]] = known[i]
-                    kept = len(self.at), len(self.flat)
+            spans = [keys[i] for i in new]
+            done = self.encode([span.decode("utf-8", "replace") for span in spans])
+            for slot, i in enumerate(new, len(self.at) - 1):
+                known[i] = slot
+            n = sum(len(span) <= self.longest for span in spans)
+            self.slot.update(zip(spans[:n], range(len(self.at) - 1, len(self.at) - 1 + n)))
+            kept = kept[0] + n, kept[1] + sum(map(len, done[:n]))
+            self.at.extend(islice(accumulate(map(len, done), initial=self.at[-1]), 1, None))
+            self.flat.extend(chain.from_iterable(done))
         slots = np.array(known, np.int64)[inverse]
         at, flat = np.frombuffer(self.at, np.int64), np.frombuffer(self.flat, np.int32)
         count = at[slots + 1] - at[slots]

@@ -26,6 +26,8 @@ from ledgerlens.llm import common
 from ledgerlens.llm.textscan import Texts, slices
 from ledgerlens.llm.vocabulary import span_cache
 
+SLICE = 4 << 20  #: bytes of texts encoded at once, about
+FEW_PARTS = 500_000  #: parts of cut pieces that are broadcast; with more, pieces are shuffled to them
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -33,10 +35,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int
     """Rows of PIECE: the full windows of each text, then what is left."""
     cache = span_cache("words", path)
     for batch in batches:
-        for a, b in slices(batch.column(1)):
+        for a, b in slices(batch.column(1), SLICE):
             doc_ids = batch.column(0).slice(a, b - a).to_pylist()
             texts = Texts.of(batch.column(1).slice(a, b - a))
-            words = texts.words()
+            words = texts.words().padded()
             ids, count = cache.ids(texts.data, words.begin, words.end)
             cut = np.concatenate(([0], np.cumsum(count)))[words.of]
             # All texts' ids in a row, each text's followed by the end id.
@@ -272,7 +274,9 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, with_ids
     at = placed.withColumnRenamed("length", "n")
     kept = pieces if with_ids else pieces.drop("ids")
     whole = kept.join(at, "item").where(F.col("n") == F.col("length"))
-    cut = pieces.join(at.join(short, "item").where(F.col("n") < F.col("length")).drop("length"), "item")
+    parts = common.written(at.join(short, "item").where(F.col("n") < F.col("length")).drop("length"), "parts")
+    few = parts.count() <= FEW_PARTS  # of some 40 bytes each
+    cut = pieces.join(F.broadcast(parts) if few else parts, "item")
     cut = (cut.withColumn("ids", F.substring("ids", (4 * F.col("from") + 1).cast("int"), (4 * F.col("n")).cast("int")))
            .withColumns({"start": F.col("start") + F.col("from"), "length": F.col("n"), "ids_crc32": ids_crc32(F.col("ids"))}))
     more = ("ids",) if with_ids else ()
