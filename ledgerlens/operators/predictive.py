@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.core import (
     bin_right, label_order, month_number, not_cancelled, rnd, sigmoid, ym,
 )
+from ledgerlens.functions.moments import exact_avg, fixed, scalar_spread
+from ledgerlens.operators import logistic
 from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.adapter import Tables
 
@@ -121,12 +123,12 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
                  train_pct: int = 80, seed: int = 42, reg_param: float = 0.01,
                  drop_recency: bool = False, model: Model | None = None) -> DataFrame:
     """M3: z-scaled features (population std + 1e-8), deterministic hash
-    split, Spark ML logistic regression; every customer scored.
+    split, logistic regression; every customer scored.
 
     The reference runs 2,000 plain gradient-descent epochs; here the same
-    model family is fitted by Spark ML (L-BFGS, small L2 penalty, because the
-    label is a step of the recency feature and the unpenalised optimum
-    diverges).  ``drop_recency`` removes the leaking feature.  A given
+    model family is fitted by Newton steps over exact sums (a small L2 penalty,
+    because the label is a step of the recency feature and the unpenalised
+    optimum diverges).  ``drop_recency`` removes the leaking feature.  A given
     ``model`` is applied as it is, without a fit."""
     s = _customer_stats(t, snapshot).select(
         "customer_id", "last_order", "recency", F.col("frequency").cast("double").alias("frequency"),
@@ -134,11 +136,10 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
         (F.col("recency") > threshold).cast("int").alias("churned"))
     feats = [f for f in FEATURES if not (drop_recency and f == "recency")]
     s = s.na.fill(0, subset=feats)
-    # Column means and population stds as scalar subqueries (merged by Spark
-    # into one aggregate over the customer frame).
-    z = s.select("*", *[((F.col(f) - s.agg(F.avg(f)).scalar())
-                         / (s.agg(F.stddev_pop(f)).scalar() + F.lit(1e-8))).alias(f"z_{f}")
-                        for f in feats])
+    # Means and deviations from exact sums, as scalar subqueries (merged by
+    # Spark into one aggregate over the customer frame).
+    z = s.select("*", *[((F.col(f) - mean) / (std + F.lit(1e-8))).alias(f"z_{f}")
+                        for f, (mean, std) in zip(feats, scalar_spread(s, feats))])
     digits = F.substring(F.md5(F.concat_ws(":", F.col("customer_id").cast("string"), F.lit(str(seed)))), 1, 8)
     z = z.withColumn("is_test", F.conv(digits, 16, 10).cast("long") % 100 >= train_pct)
     if model is None:
@@ -147,12 +148,8 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
         # aggregation runs once and all outputs score the same features.
         ensure_checkpoint_dir(t.spark)
         z = z.checkpoint(eager=True)
-        model = _fit(z, feats, reg_param)
-    intercept, weights = model
-    margin = F.lit(float(intercept))
-    for f, w in zip(feats, weights):
-        margin = margin + F.col(f"z_{f}") * F.lit(float(w))
-    raw = sigmoid(margin)
+        model = logistic.fit(z.filter(~F.col("is_test")), "churned", [f"z_{f}" for f in feats], reg_param)
+    raw = sigmoid(logistic.margin(*model, [f"z_{f}" for f in feats]))
     shown = F.round(raw, 4)  # the bands go by the rounded probability, the prediction by the raw one
     return z.select("customer_id", "recency", F.col("frequency").cast("long").alias("frequency"),
                     rnd("monetary").alias("monetary"), rnd("avg_order").alias("avg_order"), "last_order",
@@ -161,19 +158,6 @@ def churn_scores(t: Tables, snapshot: str = "2025-01-01", threshold: int = 180,
                     bin_right(shown, RISK_EDGES, RISK_LABELS).alias("churn_risk"))
 
 
-def _fit(z: DataFrame, feats: Sequence[str], reg_param: float) -> Model:
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    train = (VectorAssembler(inputCols=[f"z_{f}" for f in feats], outputCol="features")
-             .transform(z.filter(~F.col("is_test") & F.col("churned").isNotNull()))
-             .select("features", "churned"))
-    lr = LogisticRegression(featuresCol="features", labelCol="churned", regParam=reg_param,
-                            standardization=False, maxIter=200)
-    fitted = lr.fit(train)
-    return float(fitted.intercept), fitted.coefficients.toArray().tolist()
-
-
 def churn_metrics(t: Tables, **kw) -> DataFrame:
     """M4: accuracy, precision, recall, F1 on the test split, overall churn
     rate, and the confusion matrix as a nested struct (one row)."""
@@ -287,7 +271,7 @@ def _margin_lines(t: Tables, edges, labels) -> DataFrame:
 def _band_agg(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     return lines.groupBy(*keys).agg(
         F.countDistinct("order_id").alias("orders"), F.sum("quantity").alias("units"),
-        F.sum("line_total").alias("revenue"), F.avg("margin_pct").alias("avg_margin")
+        F.sum("line_total").alias("revenue"), exact_avg("margin_pct").alias("avg_margin")
     ).withColumn("revenue_per_order", F.col("revenue") / F.greatest(F.col("orders"), F.lit(1)))
 
 
@@ -406,10 +390,10 @@ def clv_tier_summary(t: Tables, snapshot: str = "2025-01-01",
     """M9: customers, mean and total CLV per tier, plus a Total row."""
     s = clv_stats(t, snapshot, tiers).filter(F.col("clv_tier").isNotNull())
     per = s.groupBy("clv_tier").agg(F.count(F.lit(1)).alias("customers"),
-                                    rnd(F.avg("clv_12m")).alias("avg_clv"),
-                                    rnd(F.sum("clv_12m")).alias("total_clv"))
-    total = s.agg(F.count(F.lit(1)).alias("customers"), rnd(F.avg("clv_12m")).alias("avg_clv"),
-                  rnd(F.sum("clv_12m")).alias("total_clv")).select(
+                                    rnd(exact_avg("clv_12m", 2)).alias("avg_clv"),
+                                    rnd(F.sum(fixed("clv_12m", 2))).alias("total_clv"))
+    total = s.agg(F.count(F.lit(1)).alias("customers"), rnd(exact_avg("clv_12m", 2)).alias("avg_clv"),
+                  rnd(F.sum(fixed("clv_12m", 2))).alias("total_clv")).select(
         F.lit("Total").alias("clv_tier"), "customers", "avg_clv", "total_clv")
     return per.unionByName(total).withColumn(
         "tier_order", F.coalesce(label_order(F.col("clv_tier"), CLV_LABELS), F.lit(5)))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.core import not_cancelled, rnd
+from ledgerlens.functions.moments import scalar_spread
 from ledgerlens.sources.adapter import Tables
 
 # Fixed labels of the reference.
@@ -170,8 +171,7 @@ def order_value_outliers(t: Tables, k: float = 3.0) -> DataFrame:
     """Non-cancelled orders with |z| > k against the non-cancelled mean
     and population std; z rounded to 2 dp."""
     nc = not_cancelled(t.orders)
-    mean = nc.agg(F.avg(F.col("order_total").cast("double"))).scalar()
-    std = nc.agg(F.stddev_pop(F.col("order_total").cast("double"))).scalar()
+    (mean, std), = scalar_spread(nc, ["order_total"], 2)
     z = F.try_divide(F.col("order_total").cast("double") - mean, F.when(std != 0, std))
     return (nc.filter(F.abs(z) > k)
             .select("order_id", "customer_id", "order_date", rnd("order_total").alias("order_total"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.core import (
     bin_right, not_cancelled, rnd, week_w, weekday_name, ym,
 )
+from ledgerlens.functions.moments import exact_avg
 from ledgerlens.operators.dashboard import STOCK_EDGES, STOCK_LABELS, product_sales
 from ledgerlens.operators.ranking import global_ntile, month_spine
 from ledgerlens.operators.sql_patterns import cohort_counts
@@ -120,7 +121,7 @@ def rfm_segments(t: Tables, snapshot: str = "2025-01-01") -> DataFrame:
     s = rfm_scores(t, snapshot)
     g = s.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"), F.avg("recency").alias("_r"),
-        F.avg("frequency").alias("_f"), F.avg("monetary").alias("_m"),
+        F.avg("frequency").alias("_f"), exact_avg("monetary", 2).alias("_m"),
         F.sum(F.col("monetary").cast("decimal(38,2)")).alias("_rev"))
     return _share(g).orderBy(F.col("_rev").desc(), "segment").select("segment", "customers", rnd("_r").alias("avg_recency"),
                             rnd("_f").alias("avg_freq"), rnd("_m").alias("avg_monetary"),

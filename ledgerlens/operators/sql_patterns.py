@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.core import (
     days_between, month_offset, not_cancelled, rnd, week_w, weekday_name, year_week, ym,
 )
+from ledgerlens.functions.moments import scalar_spread
 from ledgerlens.operators.ranking import (
     day_spine, global_ntile, global_order,
 )
@@ -237,10 +238,9 @@ def weekly_anomaly(t: Tables, k: float = 2.0) -> DataFrame:
     weekly = (not_cancelled(t.orders)
               .groupBy(year_week(F.col("order_date")).alias("week"))
               .agg(F.round(F.sum("order_total"), 2).alias("revenue")))
-    # Scalar subqueries over the weekly frame (Spark merges them into one
-    # aggregate).
-    mean = weekly.agg(F.avg(F.col("revenue").cast("double"))).scalar()
-    std = weekly.agg(F.stddev_pop(F.col("revenue").cast("double"))).scalar()
+    # Exact sums over the weekly frame, as scalar subqueries (Spark merges
+    # them into one aggregate).
+    (mean, std), = scalar_spread(weekly, ["revenue"], 2)
     z = F.try_divide(F.col("revenue").cast("double") - mean, F.when(std != 0, std))
     return weekly.select("week", rnd("revenue").alias("revenue"),
                          rnd(mean).alias("mean_revenue"), rnd(std).alias("std_deviation"),

@@ -75,7 +75,7 @@ def predictive_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_fit": _bind(M.forecast_fit, base_year=P["base_year"]),
         "churn_features": _bind(M.churn_features, **churn),
         "churn_predictions": _bind(M.churn_scores, **churn),
-        "churn_metrics": _bind(M.churn_metrics, **churn),
+        "churn_metrics": _bind(M.churn_metrics_flat, **churn),
         "churn_risk_summary": _bind(M.churn_risk_summary, **churn),
         "churn_risk_distribution": _bind(M.churn_risk_distribution, **churn),
         "confusion_matrix": _bind(M.confusion_matrix, **churn),

@@ -1,5 +1,4 @@
-"""Invariants for the churn model outputs (no SQL oracle: the model is
-fitted by an iterative optimiser)."""
+"""Invariants for the churn model outputs, and the fit against plain gradients."""
 
 import pytest
 
@@ -64,3 +63,43 @@ def test_prediction_uses_the_raw_probability_and_matrix_is_whole(t):
     rows = {r.actual: (r.predicted_0, r.predicted_1)
             for r in M.confusion_matrix(t, snapshot=SNAP, threshold=-1, model=(5.0, (0, 0, 0, 0))).collect()}
     assert rows[0] == (0, 0) and rows[1][0] == 0 and rows[1][1] > 0
+
+
+def _labelled(spark, n=400, seed=3):
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        a, b = rnd.gauss(0, 1), rnd.gauss(0, 1)
+        rows.append((a, b, int(a - 0.5 * b + rnd.gauss(0, 1) > 0.4) if i % 50 else None))
+    return rows, spark.createDataFrame(rows, "a double, b double, y int")
+
+
+def test_fit_is_the_minimum_of_the_penalised_loss(spark):
+    import numpy as np
+
+    from ledgerlens.operators import logistic
+    rows, df = _labelled(spark)
+    intercept, weights = logistic.fit(df, "y", ["a", "b"], penalty=0.01)
+    data = np.array([r for r in rows if r[2] is not None], float)
+    x, y = np.column_stack((np.ones(len(data)), data[:, :2])), data[:, 2]
+    beta = np.zeros(3)
+    for _ in range(20000):  # plain gradient descent
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta -= 0.5 * (x.T @ (p - y) / len(y) + 0.01 * np.array([0, 1, 1]) * beta)
+    assert np.abs(np.array([intercept, *weights]) - beta).max() < 1e-8
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    from ledgerlens.operators import logistic
+    _, df = _labelled(spark)
+    fits = {(i, *w) for i, w in (logistic.fit(df.repartition(n), "y", ["a", "b"]) for n in (1, 7, 200))}
+    assert len(fits) == 1
+
+
+def test_fit_of_no_rows_and_of_one_kind(spark):
+    from ledgerlens.operators import logistic
+    _, df = _labelled(spark, 60)
+    assert logistic.fit(df.limit(0), "y", ["a", "b"]) == (0.0, [0.0, 0.0])
+    intercept, weights = logistic.fit(df.selectExpr("a", "b", "1 AS y"), "y", ["a", "b"])
+    assert intercept > 5 and all(abs(w) < 5 for w in weights)
