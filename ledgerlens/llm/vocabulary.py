@@ -95,7 +95,7 @@ def words_json(path: str) -> Encode:
     held: dict[str, list[int]] = {}
 
     def new_piece(piece: str) -> list[int]:
-        if len(held) >= 1_000_000:
+        if len(held) >= 200_000:
             held.clear()
         ids = [t.id for t in model("".join([letters[b] for b in piece.encode()]))]
         if len(piece) <= 64:
@@ -209,5 +209,5 @@ def span_cache(kind: str, path: str, *more: str) -> SpanCache:
     key = f"{kind} {path}"
     if key not in held:
         make = {"tokenizers": byte_bpe_json, "words": words_json, "sentencepiece": sentence_pieces, "tiktoken": rank_file}[kind]
-        held[key] = SpanCache(make(path, *more))
+        held[key] = SpanCache(make(path, *more), *([400_000] if kind == "words" else []))
     return held[key]

@@ -26,7 +26,7 @@ from ledgerlens.llm import common
 from ledgerlens.llm.textscan import Texts, slices
 from ledgerlens.llm.vocabulary import span_cache
 
-SLICE = 4 << 20  #: bytes of texts encoded at once, about
+SLICE = 2 << 20  #: bytes of texts encoded at once, about
 FEW_PARTS = 500_000  #: parts of cut pieces that are broadcast; with more, pieces are shuffled to them
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
