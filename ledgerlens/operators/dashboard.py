@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.core import bin_right, month_label, not_cancelled, rnd
+from ledgerlens.functions.distinct import distinct_counts
 from ledgerlens.operators.ranking import month_spine
 from ledgerlens.sources.adapter import Tables
 
@@ -50,14 +51,12 @@ def executive_kpis(t: Tables, years=None, countries=None, channels=None) -> Data
     filtered = any(x is not None for x in (years, countries, channels))
     o = filtered_orders(t, years, countries, channels)
     live = (F.col("status") != "Cancelled") | F.col("status").isNull()
-    k = o.agg(
-        F.sum(F.when(live, F.col("order_total"))).alias("_rev"),
-        F.countDistinct(F.when(live, F.col("order_id"))).alias("orders"),
-        F.countDistinct(F.when(live, F.col("customer_id"))).alias("customers"),
-        F.count_if(F.col("status") == "Cancelled").alias("_canc"),
-        F.count(F.lit(1)).alias("_all"),
-        F.count_if(F.col("status") == "Delivered").alias("_deliv"),
-        F.avg(F.when(live, F.col("coupon_used"))).alias("_coupon"))
+    flag = lambda cond: F.when(cond, 1).otherwise(0)
+    # Both distinct counts and the sums in one pass over the orders.
+    k = distinct_counts(o, {"orders": F.when(live, F.col("order_id")), "customers": F.when(live, F.col("customer_id"))}, {
+        "_rev": F.when(live, F.col("order_total")), "_canc": flag(F.col("status") == "Cancelled"), "_all": F.lit(1),
+        "_deliv": flag(F.col("status") == "Delivered"), "_coupons": F.when(live, F.col("coupon_used")),
+        "_live": flag(live & F.col("coupon_used").isNotNull())})
     units = t.order_items.join(not_cancelled(o, "keep").select("order_id"), "order_id", "left_semi") \
         .agg(F.coalesce(F.sum("quantity"), F.lit(0)).cast("long")).scalar()
     if filtered:
@@ -78,7 +77,7 @@ def executive_kpis(t: Tables, years=None, countries=None, channels=None) -> Data
         rnd(F.coalesce(F.try_divide(F.col("_canc") * 100.0, F.col("_all")), zero)).alias("cancel_rate_pct"),
         rnd(F.coalesce(F.try_divide(F.col("_ret") * 100.0, F.col("_deliv")), zero)).alias("return_rate_pct"),
         "active_products",
-        rnd(F.coalesce(F.col("_coupon") * 100.0, zero)).alias("coupon_rate_pct"))
+        rnd(F.coalesce(F.try_divide(F.col("_coupons") * 100.0, F.col("_live")), zero)).alias("coupon_rate_pct"))
 
 
 def _zero_filled_monthly(events: DataFrame, date_col: str, value: Column, name: str) -> DataFrame:

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.core import (
     bin_right, not_cancelled, rnd, week_w, weekday_name, ym,
 )
+from ledgerlens.functions.distinct import distinct_counts
 from ledgerlens.functions.moments import exact_avg
 from ledgerlens.operators.dashboard import STOCK_EDGES, STOCK_LABELS, product_sales
-from ledgerlens.operators.ranking import global_ntile, month_spine
+from ledgerlens.operators.ranking import month_spine
+from ledgerlens.operators.selection import ntiles
 from ledgerlens.operators.sql_patterns import cohort_counts
+from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.adapter import Tables
 
 # Fixed segment labels as rendered by the reference dashboard.
@@ -28,9 +31,9 @@ SEGMENTS = ("Champions", "Loyal", "New/Recent", "At Risk", "Lost", "High Spender
 
 def monthly_summary(t: Tables) -> DataFrame:
     """A1: per month revenue, distinct orders, distinct customers, AOV."""
-    return (not_cancelled(t.orders).groupBy(ym(F.col("order_date")).alias("ym"))
-            .agg(F.sum("order_total").alias("_rev"), F.countDistinct("order_id").alias("orders"),
-                 F.countDistinct("customer_id").alias("customers"))
+    o = not_cancelled(t.orders).withColumn("ym", ym(F.col("order_date")))
+    return (distinct_counts(o, {"orders": F.col("order_id"), "customers": F.col("customer_id")},
+                            {"_rev": F.col("order_total")}, ["ym"])
             .select("ym", rnd("_rev").alias("revenue"), "orders", "customers",
                     rnd(F.try_divide(F.col("_rev"), F.col("orders"))).alias("aov")))
 
@@ -101,10 +104,11 @@ def rfm_scores(t: Tables, snapshot: str = "2025-01-01") -> DataFrame:
         F.datediff(F.lit(snapshot).cast("date"), F.max("order_date")).alias("recency"),
         F.countDistinct("order_id").alias("frequency"),
         F.sum("order_total").alias("monetary"))
-    cid = F.col("customer_id").asc()
-    s = global_ntile(base, 5, [F.col("recency").desc(), cid], "r_score")
-    s = global_ntile(s, 5, [F.col("frequency").asc(), cid], "f_score")
-    s = global_ntile(s, 5, [F.col("monetary").asc(), cid], "m_score")
+    # Written once; the boundaries of all three scores come from the same counting rounds.
+    ensure_checkpoint_dir(t.spark)
+    cid = ("customer_id", False)
+    s = ntiles(base.checkpoint(eager=True), {"r_score": (5, [("recency", True), cid]), "f_score": (5, [("frequency", False), cid]),
+                                             "m_score": (5, [("monetary", False), cid])})
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = (F.when((r >= 4) & (f >= 4), SEGMENTS[0]).when((r >= 3) & (f >= 3), SEGMENTS[1])
            .when((r >= 4) & (f <= 2), SEGMENTS[2]).when((r <= 2) & (f >= 3), SEGMENTS[3])

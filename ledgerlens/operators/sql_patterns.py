@@ -9,6 +9,7 @@ NTILE and running share use :mod:`ledgerlens.operators.ranking`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ from ledgerlens.functions.core import (
     days_between, month_offset, not_cancelled, rnd, week_w, weekday_name, year_week, ym,
 )
 from ledgerlens.functions.moments import scalar_spread
-from ledgerlens.operators.ranking import (
-    day_spine, global_ntile, global_order,
-)
+from ledgerlens.operators.ranking import day_spine
+from ledgerlens.operators.selection import beyond, crossings, ntiles
+from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.adapter import Tables
 
 # Fixed labels of the reference (must match its output text).
@@ -76,6 +77,13 @@ def rolling_revenue(t: Tables, n: int = 3) -> DataFrame:
         rnd(F.sum("revenue").over(w)).alias(f"rolling_{n}m_total"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A small frame of totals in the reliable checkpoint folder, for operators
+    that read it several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def customer_lifetime_value(t: Tables) -> DataFrame:
     return (not_cancelled(t.orders).groupBy("customer_id")
             .agg(F.round(F.sum("order_total"), 2).alias("lifetime_value")))
@@ -83,10 +91,11 @@ def customer_lifetime_value(t: Tables) -> DataFrame:
 
 def customer_deciles(t: Tables, n: int = 10) -> DataFrame:
     """Q4: NTILE(n) of customers by lifetime value (1 = top) with per-tile
-    stats and share of revenue.  Ties broken by customer_id."""
-    ltv = customer_lifetime_value(t)
-    tiles = global_ntile(ltv, n, [F.col("lifetime_value").desc(), F.col("customer_id").asc()],
-                         "decile")
+    stats and share of revenue.  Ties broken by customer_id.  The tiles'
+    boundaries are found by counting, so no customer is given a position."""
+    # One row per customer, written once: the counting rounds and the result read it.
+    ltv = _kept(customer_lifetime_value(t))
+    tiles = ntiles(ltv, {"decile": (n, [("lifetime_value", True), ("customer_id", False)])})
     per = tiles.groupBy("decile").agg(
         F.count(F.lit(1)).alias("customers"),
         F.min("lifetime_value").alias("min_ltv"),
@@ -188,13 +197,17 @@ def abc_classification(t: Tables, a: float = 0.80, b: float = 0.95,
 
     ``exclude_cancelled=False`` reproduces the reference SQL, whose status
     test sits in the ON clause of an outer join and so keeps cancelled sales.
+    Where all revenue adds up to nothing or less there are no shares: all is C.
     """
-    pr = product_revenue(t, exclude_cancelled)
-    cum = global_order(pr, [F.col("revenue").desc(), F.col("product_id").asc()],
-                       value_col="revenue", cum_col="cum_revenue")
-    share = F.try_divide(F.col("cum_revenue"), F.col("_grand"))
-    cls = (F.when(share <= F.lit(a), "A").when(share <= F.lit(b), "B").otherwise("C"))
-    per = (cum.withColumn("abc_class", cls)
+    pr = _kept(product_revenue(t, exclude_cancelled))
+    cents = (F.col("revenue") * 100).cast("decimal(38,0)")
+    total = int(pr.agg(F.sum(cents)).first()[0] or 0)
+    # The products at which the share passes a and b; without revenue in all there is no share.
+    limits = [int(Decimal(str(x)) * total) if total > 0 else -1 for x in (a, b)]
+    order, first = crossings(pr, {"share": [("revenue", True), ("product_id", False)]}, {"share": limits}, cents)
+    past = [beyond(order["share"], at) if total > 0 else F.lit(True) for at in first["share"]]
+    cls = F.when(past[1], "C").when(past[0], "B").otherwise("A")
+    per = (pr.withColumn("abc_class", cls)
            .groupBy("abc_class").agg(F.count(F.lit(1)).alias("products"),
                                      F.sum("revenue").alias("total_revenue"),
                                      F.avg("revenue").alias("avg_revenue")))

@@ -37,12 +37,21 @@ def test_no_cartesian_or_nested_loop_joins(spark):
         assert "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_deciles_do_not_use_a_window_ntile(spark):
-    plan = _plan(spark, "customer_deciles")
-    # NTILE comes from global positions (range partitions + checkpoint), not
-    # from a window function over all customers
-    assert "ntile(" not in plan.lower()
-    assert "ExistingRDD" in plan  # the checkpointed, ranked customer rows
+def test_tiles_and_shares_give_no_row_a_position(spark):
+    # Boundaries come from counting rounds over the totals (one checkpoint); what
+    # is left is a comparison with literals, so no row is sorted or dealt by range.
+    for name in ("customer_deciles", "rfm_scores", "abc_classification"):
+        plan = _plan(spark, name)
+        assert plan.count("ExistingRDD") == 1, name
+        assert "ntile(" not in plan.lower() and "rangepartitioning" not in plan and "Sort" not in plan, name
+    assert "Exchange" not in _plan(spark, "rfm_scores")
+
+
+def test_two_distinct_counts_in_one_pass(spark):
+    for name, scans in (("executive_kpis", 2), ("monthly_summary", 1)):  # the units' semi join reads orders too
+        plan = _plan(spark, name)
+        assert "Expand" not in plan, name
+        assert _scans(plan).count("orders") == scans, name
 
 
 def _line_shuffles(spark, name):
