@@ -76,17 +76,6 @@ class Words:
         data = _LOWER[self.texts.data] if lower else self.texts.data
         return span_hashes(data, self.begin, self.end)
 
-    def padded(self) -> Words:
-        """The words with the white space after them, and that before a text's
-        first: spans that cover the texts.  A text of white space is one."""
-        is_cut = np.zeros(len(self.texts.data) + 1, bool)
-        is_cut[self.begin] = True
-        some = np.diff(self.of) > 0
-        is_cut[self.begin[self.of[:-1][some]]] = False
-        is_cut[self.texts.at] = True
-        cuts = np.flatnonzero(is_cut)
-        return Words(self.texts, cuts[:-1], cuts[1:], np.searchsorted(cuts[:-1], self.texts.at))
-
     def text_of(self) -> np.ndarray:
         """The text number of each word."""
         return np.repeat(np.arange(len(self.of) - 1), np.diff(self.of))
@@ -277,3 +266,48 @@ def units(texts: Texts) -> Words:
     cuts = np.flatnonzero(is_cut)
     begin, end = cuts[:-1], cuts[1:]
     return Words(texts, begin, end, np.searchsorted(begin, texts.at))
+
+
+#: Of a byte in a word: 1 of a letter, 2 a digit, 3 a sign, 0 none of these in
+#: plain words.  A letter is one of ASCII, or of Latin-1 (0xC3 and the byte after it).
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = 3
+_CLASS[list(b"0123456789")] = 2
+_CLASS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 1
+_CLASS[0x80:0xC0] = _CLASS[0xC3] = 1
+_CLASS[list(b"'<")] = 0
+
+
+def pieces(texts: Texts) -> Words:
+    """Spans that cover the texts: plain words cut into runs of letters, single
+    digits and runs of signs, in lower case, and other words whole and as they
+    are, each with the white space before it.
+
+    Plain words are of ASCII and Latin-1 letters, digits and signs, without
+    ``'`` and ``<``.  The spans' data are a copy.
+    """
+    words = texts.words()
+    data = texts.data
+    n = len(data)
+    if not n:
+        return Words(texts, words.begin, words.end, words.of)
+    kind = _CLASS[data]
+    high = np.flatnonzero(data >= 0x80)
+    before = np.where(high > 0, data[high - 1], 0)
+    low = data[high] < 0xC0
+    kind[high[low & ((before != 0xC3) | (data[high] == 0x97) | (data[high] == 0xB7))]] = 0
+    solid = ~_SPACE[data]
+    odd = np.unique(np.searchsorted(words.begin, np.flatnonzero(solid & (kind == 0)), side="right") - 1)
+    edge = np.zeros(n + 1, np.int8)
+    edge[words.begin[odd]] += 1
+    edge[words.end[odd]] -= 1
+    plain = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    is_cut = np.zeros(n + 1, bool)
+    is_cut[1:n] = ((kind[1:] != kind[:-1]) | (kind[1:] == 2)) & solid[1:] & solid[:-1] & plain[1:] & plain[:-1]
+    is_cut[words.end] = is_cut[texts.at] = True
+    lower = data.copy()
+    lower[(data >= 65) & (data <= 90) & plain] += 32
+    accent = high[low & (data[high] <= 0x9E) & (before == 0xC3)]
+    lower[accent[plain[accent]]] += 32
+    cuts = np.flatnonzero(is_cut)
+    return Words(Texts(lower, texts.at), cuts[:-1], cuts[1:], np.searchsorted(cuts[:-1], texts.at))

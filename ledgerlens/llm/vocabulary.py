@@ -55,9 +55,8 @@ def byte_bpe_json(path: str) -> Encode:
     return encode
 
 
-#: Letters and signs that stand alone in every normal form: ASCII and the Latin-1 letters.
-_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]*")
-_SIMPLE_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
+#: A piece of ``textscan.pieces``: lower-case, of letters and signs that every normal form keeps.
+_PIECE = re.compile("[ \t\n\v\f\r]*[!-&(-;=-~ß-öø-ÿ]*")
 
 
 def byte_letters() -> dict[int, str]:
@@ -68,59 +67,64 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(other)}
 
 
+def cuts_words(path: str) -> bool:
+    """Whether the vocabulary lower-cases texts and cuts plain words as
+    ``textscan.pieces`` does."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return ([n["type"] for n in spec["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+            and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
 def words_json(path: str) -> Encode:
     """A vocabulary file of the tokenizers library whose pre-tokeniser drops
-    white space: spans of a word and white space around it, and added tokens'
-    strings in them, are encoded as in the whole text.
+    white space: spans that begin or end with it, and added tokens' strings in
+    them, are encoded as in the whole text.
 
-    Words of plain letters and signs are cut here and each distinct piece goes
-    to the library's model; any other span goes to the library whole.
+    Plain pieces go to the library's model, many at a time and one a word; any
+    other span goes through the library whole.
     """
     import json
 
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
 
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    added = [t["content"] for t in spec.get("added_tokens") or []]
-    if any(t.get("lstrip") or t.get("rstrip") or set(t["content"]) & set(" \t\n\v\f\r")
-           for t in spec.get("added_tokens") or []):
+        added = json.load(f).get("added_tokens") or []
+    if any(t.get("lstrip") or t.get("rstrip") or set(t["content"]) & set(" \t\n\v\f\r") for t in added):
         raise ValueError("the vocabulary's added tokens take white space in")
-    steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
-    split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-    known = (steps == ["NFC", "Replace", "Lowercase"]
-             and split == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    tokenizer = Tokenizer.from_file(path)
-    model, letters = tokenizer.model.tokenize, byte_letters()
-    held: dict[str, list[int]] = {}
-
-    def new_piece(piece: str) -> list[int]:
-        if len(held) >= 200_000:
-            held.clear()
-        ids = [t.id for t in model("".join([letters[b] for b in piece.encode()]))]
-        if len(piece) <= 64:
-            held[piece] = ids
-        return ids
+    if any("<" not in t["content"] for t in added):
+        raise ValueError("the vocabulary's added tokens could be plain pieces")
+    tokenizer, known = Tokenizer.from_file(path), cuts_words(path)
+    bare = Tokenizer(tokenizer.model)  # its words are the pieces, already in byte letters
+    bare.pre_tokenizer = WhitespaceSplit()
+    letters = {b: x for b, x in byte_letters().items() if b != 0x20}
+    suffix = tokenizer.model.end_of_word_suffix
+    if not suffix:
+        raise ValueError("the vocabulary does not mark the ends of words")
+    last = np.zeros(tokenizer.get_vocab_size(), bool)
+    last[[i for token, i in tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
 
     def encode(spans: list[str]) -> list[list[int]]:
         out: list[list[int]] = [[] for _ in spans]
-        words = [span.strip(" \t\n\v\f\r") for span in spans]
-        simple = [known and _SIMPLE.fullmatch(w) is not None and not ("<" in w and any(t in w for t in added)) for w in words]
-        get, i = held.get, -1
-        at = list(compress(range(len(words)), simple))
-        # One a line; the line feed is a piece that says that the next word begins.
-        for piece in _SIMPLE_PIECES.findall("\n" + "\n".join(compress(words, simple)).lower()) if at else ():
-            if piece == "\n":
-                i += 1
-                ids = out[at[i]]
-            else:
-                ids += get(piece) or new_piece(piece)
-        whole = [i for i, s in enumerate(simple) if not s]
+        plain = [known and _PIECE.fullmatch(s) is not None for s in spans]
+        pieces = [s.strip(" \t\n\v\f\r") for s in compress(spans, plain)]
+        at = [i for i, p in zip(compress(range(len(spans)), plain), pieces) if p]
+        joined = " ".join(filter(None, pieces)).encode().decode("latin-1").translate(letters)
+        ids = bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+        # The last token of a word, and no other, ends in the suffix.
+        cut = [0, *(np.flatnonzero(last[np.array(ids, np.int64)]) + 1).tolist()]
+        for i, a, b in zip(at, cut[:-1], cut[1:], strict=True):
+            out[i] = ids[a:b]
+        whole = [i for i, s in enumerate(plain) if not s]
         for a in range(0, len(whole), 4096):
             some = whole[a: a + 4096]
             done = tokenizer.encode([spans[i] for i in some], is_pretokenized=True, add_special_tokens=False)
-            for i, k in zip(done.ids, done.word_ids):
-                out[some[k]].append(i)
+            for token, k in zip(done.ids, done.word_ids):
+                out[some[k]].append(token)
         return out
 
     return encode

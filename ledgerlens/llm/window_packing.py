@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import common
-from ledgerlens.llm.textscan import Texts, slices
+from ledgerlens.llm.textscan import Texts, pieces, slices
 from ledgerlens.llm.vocabulary import span_cache
 
 SLICE = 2 << 20  #: bytes of texts encoded at once, about
@@ -38,9 +38,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int
         for a, b in slices(batch.column(1), SLICE):
             doc_ids = batch.column(0).slice(a, b - a).to_pylist()
             texts = Texts.of(batch.column(1).slice(a, b - a))
-            words = texts.words().padded()
-            ids, count = cache.ids(texts.data, words.begin, words.end)
-            cut = np.concatenate(([0], np.cumsum(count)))[words.of]
+            spans = pieces(texts)
+            ids, count = cache.ids(spans.texts.data, spans.begin, spans.end)
+            cut = np.concatenate(([0], np.cumsum(count)))[spans.of]
             # All texts' ids in a row, each text's followed by the end id.
             own = np.insert(ids, cut[1:], end_id).astype("<u4")
             cut = cut + np.arange(len(cut))
@@ -255,7 +255,8 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, with_ids
     sequence_id, offset, and the ids themselves (little-endian 32-bit numbers
     in a binary) if ``with_ids``.
 
-    The vocabulary drops white space, so texts are encoded word by word.
+    The vocabulary drops white space, so texts are encoded word by word,
+    plain words by the pieces that the vocabulary's pattern cuts them into.
     Null and empty texts, and texts of white space, are the end id alone.
     A text of any length is cut into full windows and a rest.  Every row of a
     repeated doc_id, or of a null one, is packed.  Equal lengths go in order of
