@@ -152,9 +152,6 @@ class Known:
     at: np.ndarray
     flat: np.ndarray
 
-    def blocks(self) -> Blocks:
-        return Blocks.of(self.spans, self.span_at[:-1], self.span_at[1:])
-
 
 def dictionary(texts: DataFrame, ranks: dict[bytes, int], pattern: str, limit: int) -> Known:
     """Frequent spans of at most ``LONGEST`` bytes, of at most ``limit`` bytes in all."""
@@ -164,7 +161,7 @@ def dictionary(texts: DataFrame, ranks: dict[bytes, int], pattern: str, limit: i
     # The least class of counts that keeps the dictionary within its limit:
     # every count up to 4,096 is a class, above that 64 to a doubling.
     rate = F.when(F.col("n") <= 4096, F.col("n")).otherwise(4096 + F.floor(64 * F.log2(F.col("n") / 4096))).cast("long")
-    by_rate = (total.select(rate.alias("rate"), (3 * F.length("span") + 24).alias("size")).groupBy("rate")
+    by_rate = (total.select(rate.alias("rate"), (4 * F.length("span") + 32).alias("size")).groupBy("rate")
                .agg(F.sum("size").alias("size")).orderBy(F.desc("rate")).collect())  # a few thousand rows
     least, room = 1 << 62, limit
     for row in by_rate:
@@ -177,27 +174,28 @@ def dictionary(texts: DataFrame, ranks: dict[bytes, int], pattern: str, limit: i
     common.drop_written(total)
     kind = np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
     if not len(folded):
-        none = np.zeros(1, np.int64)
+        none = np.zeros(1, np.int32)
         return Known(np.zeros(0, np.uint64), none, np.zeros(0, np.uint8), none, np.zeros(0, kind))
     spans = Texts.of(folded.column(0).chunk(0))
     order = np.argsort(span_hashes(spans.data, spans.at[:-1], spans.at[1:]))
     spans = Texts.of(folded.column(0).chunk(0).take(pa.array(order)))
     ids = folded.column(1).chunk(0).take(pa.array(order))
-    return Known(span_hashes(spans.data, spans.at[:-1], spans.at[1:]), spans.at, spans.data,
-                 np.asarray(ids.offsets).astype(np.int64), np.asarray(ids.flatten()).astype(kind))
+    return Known(span_hashes(spans.data, spans.at[:-1], spans.at[1:]), spans.at.astype(np.int32), spans.data,
+                 np.asarray(ids.offsets).astype(np.int32), np.asarray(ids.flatten()).astype(kind))
 
 
-def _look_up(batches: Iterator[pa.RecordBatch], pattern: str, known: Known) -> Iterator[pa.RecordBatch]:
+def _look_up(batches: Iterator[pa.RecordBatch], pattern: str, hashes: np.ndarray, span_at: np.ndarray,
+             spans_: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row per slice of texts: doc_ids, spans of each, their slots (the
     dictionary's, or -1 - the place among ``words``), the words of other spans."""
     match = regex.compile(exact_pattern(pattern))
-    held = known.blocks()
+    held = Blocks.of(spans_, span_at[:-1], span_at[1:])
     for batch in batches:
         for a, b in slices(batch.column(1)):
             u = units(Texts.of(batch.column(1).slice(a, b - a)))
             first, inverse, _ = distinct_spans(u.texts.data, u.begin, u.end)
             own = Blocks.of(u.texts.data, u.begin[first], u.end[first])
-            slot = np.searchsorted(known.hashes, own.hashes())
+            slot = np.searchsorted(hashes, own.hashes())
             new = ~own.equal(held, slot)
             slot[new] = -1 - np.arange(int(new.sum()))
             data = u.texts.data.tobytes()
@@ -240,7 +238,7 @@ def _assemble(batches: Iterator[pa.RecordBatch], at: np.ndarray, flat: np.ndarra
                     ["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, limit: int = 96 << 20, text: str = "text",
+def encode(docs: DataFrame, path: str, pattern: str, limit: int = 64 << 20, text: str = "text",
            key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array<int>).
 
@@ -253,17 +251,15 @@ def encode(docs: DataFrame, path: str, pattern: str, limit: int = 96 << 20, text
     ranks = read_ranks(path)
     texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
                                              F.col(text).cast("string").alias("text")))
-    held = common.send(spark, dictionary(texts, ranks, pattern, limit))
+    known = dictionary(texts, ranks, pattern, limit)
+    # Each kind of task gets its part alone.
+    to_find = spark.sparkContext.broadcast((known.hashes, known.span_at, known.spans))
+    to_fill = spark.sparkContext.broadcast((known.at, known.flat))
     rows = texts.mapInArrow(
-        lambda it: _look_up(it, pattern, common.received(held)),
+        lambda it: _look_up(it, pattern, *to_find.value),
         "doc_ids array<long>, spans array<int>, slots array<int>, words array<array<array<smallint>>>")
     rows = rows.select("doc_ids", "spans", "slots", fold_merges(F.col("words"), ranks).alias("ids"))
-
-    def assemble(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.received(held)
-        return _assemble(it, known.at, known.flat)
-
-    return rows.mapInArrow(assemble, "doc_id long, ids array<int>")
+    return rows.mapInArrow(lambda it: _assemble(it, *to_fill.value), "doc_id long, ids array<int>")
 
 
 def decode(ids: Column, path: str) -> Column:
