@@ -16,7 +16,8 @@ Mapping (ours, fixed so that the DuckDB oracle can repeat it exactly):
 * order_items: quantity = l_quantity, unit_price = extendedprice / quantity
   (NULL for a zero quantity),
   discount_pct = l_discount as DECIMAL(5,4),
-  line_total = extendedprice as DECIMAL(18,2) * (1 - discount_pct).
+  line_total = extendedprice as DECIMAL(18,2) * (1 - discount_pct);
+  ship_date, which no documented line has, spares a second look at the lines.
 * products: category = p_type, brand = p_brand, selling_price = p_retailprice,
   cost_price = 0.6 * selling_price, stock_quantity = (p_size - 1) * 2,
   rating = 3.0 + (p_size % 21) / 10, is_active = p_size % 4 <> 0.
@@ -142,6 +143,7 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
         F.col("l_discount").try_cast("decimal(5,4)").alias("discount_pct"),
         line_total(F.col("l_extendedprice"), F.col("l_discount")).alias("line_total"),
+        F.to_date("l_shipdate").alias("ship_date"),
     )
 
     returns = li.filter(F.col("l_returnflag") == "R").select(

@@ -87,3 +87,14 @@ def test_forecast_reads_orders_once(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert _scans(plan).count("orders") <= 3
+
+
+def _executed(spark, name):
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_gate_reads_orders_and_lines_twice_at_most(spark):
+    scans = _scans(_executed(spark, "quality_gate"))
+    assert scans.count("orders") == 2 and scans.count("lineitem") == 2
