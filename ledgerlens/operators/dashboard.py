@@ -129,7 +129,8 @@ def payment_mix(t: Tables) -> DataFrame:
     """K5: distinct non-cancelled orders per payment method (NULL status
     kept, dashboard rule)."""
     return (not_cancelled(t.orders, "keep").filter(F.col("payment_method").isNotNull())
-            .groupBy("payment_method").agg(F.countDistinct("order_id").alias("orders")))
+            .groupBy("payment_method").agg(F.countDistinct("order_id").alias("orders"))
+            .orderBy(F.col("orders").desc(), "payment_method"))
 
 
 def status_distribution(t: Tables, years=None, countries=None, channels=None) -> DataFrame:
@@ -142,7 +143,7 @@ def status_distribution(t: Tables, years=None, countries=None, channels=None) ->
 def return_reasons(t: Tables) -> DataFrame:
     """K7: returns per reason."""
     return (t.returns.filter(F.col("reason").isNotNull()).groupBy("reason")
-            .agg(F.count(F.lit(1)).alias("count")))
+            .agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), "reason"))
 
 
 def return_status_counts(t: Tables) -> DataFrame:
@@ -255,4 +256,4 @@ def forecast_view(forecast: DataFrame, last: int = 12) -> DataFrame:
     fc = forecast.filter(F.col("type") == "forecast")
     return actual.unionByName(fc).select(
         "ym", "type", rnd(F.col("revenue") / 1e6).alias("revenue_m"),
-        rnd(F.col("forecast_revenue") / 1e6).alias("forecast_revenue_m"))
+        rnd(F.col("forecast_revenue") / 1e6).alias("forecast_revenue_m")).orderBy("ym", "type")

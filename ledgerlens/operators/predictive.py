@@ -319,21 +319,25 @@ def market_basket(t: Tables, min_support: float = 0.005, strong: float = 1.2,
     both ways and lift; strength on the unrounded lift.
 
     Each order is reduced to its sorted set of categories (at most the number
-    of categories, however large the order), identical sets are counted once
-    with a weight, and pairs are expanded per distinct set, not per order:
-    no self-join and no per-order pair list."""
+    of categories, however large the order) and identical sets are counted once
+    with a weight.  A pair is no more frequent than either category, so
+    categories below ``min_support`` leave the sets before any pair is made:
+    at most (mean categories an order) / ``min_support`` categories stay, and
+    their number, not that of all categories, bounds the pairs of a set.
+    Pairs are expanded per distinct set of those: no self-join and no
+    per-order pair list."""
     lines = _sold_lines(t, ["category"]).filter(F.col("category").isNotNull())
     per_order = lines.groupBy("order_id").agg(
         F.array_sort(F.collect_set("category")).alias("cats"))
     sets = per_order.groupBy("cats").agg(F.count(F.lit(1)).alias("w"))
     n = sets.agg(F.sum("w")).scalar()
-    sup = (sets.select(F.explode("cats").alias("category"), "w")
-           .groupBy("category").agg(F.sum("w").alias("_c"))
-           .select("category", rnd(F.col("_c") / n, 4).alias("_s")))
-    pairs = (sets.select(F.explode("cats").alias("category_A"), "cats", "w")
-             .select("category_A", F.explode("cats").alias("category_B"), "w")
-             .filter(F.col("category_A") < F.col("category_B"))
-             .groupBy("category_A", "category_B").agg(F.sum("w").alias("_co"))
+    counts = sets.select(F.explode("cats").alias("category"), "w").groupBy("category").agg(F.sum("w").alias("_c"))
+    frequent = counts.filter(F.col("_c") / n >= min_support)
+    sup = frequent.select("category", rnd(F.col("_c") / n, 4).alias("_s"))
+    some = frequent.agg(F.coalesce(F.collect_list("category"), F.array().cast("array<string>"))).scalar()
+    sets = (sets.select(F.array_intersect("cats", some).alias("cats"), "w").filter(F.size("cats") > 1)
+            .groupBy("cats").agg(F.sum("w").alias("w")))
+    pairs = (basket_pairs(sets).groupBy("category_A", "category_B").agg(F.sum("w").alias("_co"))
              .withColumn("co_support", F.col("_co") / n)
              .filter(F.col("co_support") >= min_support))
     # One row per category; the join strategy is left to AQE's measured size.
@@ -349,7 +353,14 @@ def market_basket(t: Tables, min_support: float = 0.005, strong: float = 1.2,
                     rnd(conf_ab, 4).alias("confidence_a_to_b"),
                     rnd(conf_ba, 4).alias("confidence_b_to_a"), rnd(lift, 4).alias("lift"),
                     F.when(lift > strong, "Strong").when(lift > moderate, "Moderate")
-                    .otherwise("Weak").alias("rule_strength"))
+                    .otherwise("Weak").alias("rule_strength")
+                    ).orderBy(F.col("lift").desc(), "category_A", "category_B")
+
+
+def basket_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs A < B of each set of ``sets(cats, w)``, ``cats`` being sorted."""
+    first = sets.select(F.posexplode("cats").alias("_i", "category_A"), "cats", "w")
+    return first.select("category_A", F.explode(F.slice("cats", F.col("_i") + 2, F.size("cats"))).alias("category_B"), "w")
 
 
 # ── M8 / M9 CLV ─────────────────────────────────────────────────────────────

@@ -63,7 +63,7 @@ def row_counts(t: Tables) -> DataFrame:
               for name, df in (("customers", t.customers), ("products", t.products),
                                ("orders", t.orders), ("order_items", t.order_items),
                                ("returns", t.returns))]
-    return _union(frames)
+    return _union(frames).orderBy("table_name")
 
 
 def null_checks(t: Tables) -> DataFrame:
@@ -175,7 +175,8 @@ def order_value_outliers(t: Tables, k: float = 3.0) -> DataFrame:
     z = F.try_divide(F.col("order_total").cast("double") - mean, F.when(std != 0, std))
     return (nc.filter(F.abs(z) > k)
             .select("order_id", "customer_id", "order_date", rnd("order_total").alias("order_total"),
-                    rnd(z).alias("z_score")))
+                    rnd(z).alias("z_score"))
+            .orderBy(F.col("z_score").desc(), "order_id"))
 
 
 def completeness_summary(t: Tables) -> DataFrame:

@@ -49,7 +49,8 @@ def date_spine_daily(t: Tables, start: str = "2022-01-01", end: str = "2024-12-3
                     week_w(d).alias("week"),
                     weekday_name(d).alias("day_of_week"),
                     F.coalesce(F.col("orders"), F.lit(0)).cast("long").alias("orders"),
-                    rnd(F.coalesce(F.col("revenue"), F.lit(0))).alias("revenue")))
+                    rnd(F.coalesce(F.col("revenue"), F.lit(0))).alias("revenue"))
+            .orderBy("date"))
 
 
 def monthly_pivot(t: Tables, years: Sequence[int] = (2022, 2023, 2024)) -> DataFrame:
@@ -60,7 +61,7 @@ def monthly_pivot(t: Tables, years: Sequence[int] = (2022, 2023, 2024)) -> DataF
     aggs = [rnd(F.sum(F.when(yr == y, F.col("order_total")))).alias(f"revenue_{y}")
             for y in years]
     aggs.append(rnd(F.sum("order_total")).alias("total_all_years"))
-    return o.groupBy(F.date_format("order_date", "MM").alias("month")).agg(*aggs)
+    return o.groupBy(F.date_format("order_date", "MM").alias("month")).agg(*aggs).orderBy("month")
 
 
 def rolling_revenue(t: Tables, n: int = 3) -> DataFrame:
@@ -74,7 +75,7 @@ def rolling_revenue(t: Tables, n: int = 3) -> DataFrame:
     return monthly.select(
         "ym", rnd("revenue").alias("revenue"),
         rnd(F.avg("revenue").over(w)).alias(f"rolling_{n}m_avg"),
-        rnd(F.sum("revenue").over(w)).alias(f"rolling_{n}m_total"))
+        rnd(F.sum("revenue").over(w)).alias(f"rolling_{n}m_total")).orderBy("ym")
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def customer_deciles(t: Tables, n: int = 10) -> DataFrame:
     return per.select(
         "decile", "customers", rnd("min_ltv").alias("min_ltv"), rnd("max_ltv").alias("max_ltv"),
         rnd("avg_ltv").alias("avg_ltv"), rnd("total_ltv").alias("total_ltv"),
-        rnd(F.try_divide(F.col("total_ltv") * 100, grand)).alias("pct_total_revenue"))
+        rnd(F.try_divide(F.col("total_ltv") * 100, grand)).alias("pct_total_revenue")).orderBy("decile")
 
 
 def customer_journey(t: Tables) -> DataFrame:
@@ -138,7 +139,8 @@ def customer_journey(t: Tables) -> DataFrame:
                     F.coalesce(F.col("order_rank").cast("long"), F.col("total_orders")).alias("order_rank"),
                     "total_orders",
                     days_between(F.col("order_date"), F.col("prev_date")).alias("days_since_last"),
-                    days_between(F.col("next_date"), F.col("order_date")).alias("days_to_next")))
+                    days_between(F.col("next_date"), F.col("order_date")).alias("days_to_next"))
+            .orderBy("customer_id", "order_rank"))
 
 
 def _items_in_live_orders(t: Tables, nulls: str = "drop") -> DataFrame:
@@ -176,7 +178,8 @@ def category_affinity(t: Tables, min_count: int = 50) -> DataFrame:
              .filter(F.col("co_occurrences") >= min_count))
     n_orders = not_cancelled(t.orders).agg(F.countDistinct("order_id")).scalar()
     return pairs.select("category_1", "category_2", "co_occurrences",
-                        rnd(F.col("co_occurrences") * 100.0 / n_orders, 4).alias("support_pct"))
+                        rnd(F.col("co_occurrences") * 100.0 / n_orders, 4).alias("support_pct")
+                        ).orderBy(F.col("co_occurrences").desc(), "category_1", "category_2")
 
 
 def product_revenue(t: Tables, exclude_cancelled: bool = True) -> DataFrame:
@@ -214,7 +217,8 @@ def abc_classification(t: Tables, a: float = 0.80, b: float = 0.95,
     grand = F.sum("total_revenue").over(Window.partitionBy())  # <= 3 rows
     return per.select("abc_class", "products", rnd("total_revenue").alias("total_revenue"),
                       rnd("avg_revenue").alias("avg_revenue"),
-                      rnd(F.try_divide(F.col("total_revenue") * 100, grand)).alias("revenue_share_pct"))
+                      rnd(F.try_divide(F.col("total_revenue") * 100, grand)).alias("revenue_share_pct")
+                      ).orderBy("abc_class")
 
 
 def cohort_counts(t: Tables, max_offset: int = 12) -> DataFrame:
@@ -242,7 +246,7 @@ def cohort_retention(t: Tables, max_offset: int = 12) -> DataFrame:
                     "month_offset",
                     F.col("active_customers").cast("long").alias("active_customers"),
                     rnd(F.col("active_customers") * 100.0 / F.col("cohort_size"), 1)
-                    .alias("retention_pct"))
+                    .alias("retention_pct")).orderBy("cohort_month", "month_offset")
 
 
 def weekly_anomaly(t: Tables, k: float = 2.0) -> DataFrame:
@@ -258,7 +262,8 @@ def weekly_anomaly(t: Tables, k: float = 2.0) -> DataFrame:
     return weekly.select("week", rnd("revenue").alias("revenue"),
                          rnd(mean).alias("mean_revenue"), rnd(std).alias("std_deviation"),
                          rnd(z).alias("z_score"),
-                         F.when(F.abs(z) > k, ANOMALY_LABEL).otherwise(NORMAL_LABEL).alias("status"))
+                         F.when(F.abs(z) > k, ANOMALY_LABEL).otherwise(NORMAL_LABEL).alias("status")
+                         ).orderBy("week")
 
 
 def next_best_action(t: Tables, snapshot: str = "2025-01-01", silver: float = 5000,
