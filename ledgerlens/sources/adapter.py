@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlens.sources import schema as S
 
@@ -179,24 +180,76 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
                   customer_geo=customer_geo, deliveries=deliveries)
 
 
+#: The column of a line as it stood, on lines that do not fit their schema.
+BAD_LINE = "_bad_line"
+
+
+def _csv(spark: SparkSession, path: str, schema: StructType, check_header: bool = True) -> DataFrame:
+    """A CSV file with a header row, malformed lines kept whole in BAD_LINE.
+
+    Every column is parsed, whatever a query reads: otherwise it would depend on
+    the query whether a line counts as malformed."""
+    full = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
+    df = (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", BAD_LINE).option("dateFormat", "yyyy-MM-dd")
+          .option("escape", '"').option("enforceSchema", not check_header).csv(path))
+    # Always true, and in need of every column.
+    return df.filter(F.size(F.array(*[F.isnull(f"`{c}`") for c in schema.fieldNames()])) > 0)
+
+
+def _sound(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+
+
+def _rejected(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(BAD_LINE).isNotNull())
+
+
 def load_csv_tables(spark: SparkSession, data_dir: str) -> Tables:
-    """SRC1: the documented CSV layout (header row, explicit schemas)."""
-    frames = {
-        name: spark.read.schema(schema).option("header", True)
-        .option("dateFormat", "yyyy-MM-dd").csv(f"{data_dir}/{name}.csv")
-        for name, schema in S.TABLE_SCHEMAS.items()
-    }
+    """SRC1: the documented CSV layout (header row, explicit schemas).
+
+    Lines with too few or too many fields, or with a value that is not of its
+    column's type, are no rows of the tables; ``csv_rejects`` lists them and
+    ``csv_gate`` counts them.  A header that names other columns is an error."""
+    frames = {name: _sound(_csv(spark, f"{data_dir}/{name}.csv", schema)) for name, schema in S.TABLE_SCHEMAS.items()}
     return Tables(**frames)
 
 
-def read_csv(spark: SparkSession, path: str, schema, label_col: str | None = None) -> DataFrame:
+def csv_rejects(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The lines that ``load_csv_tables`` leaves out, whole: table_name, file, line."""
+    out = None
+    for name, schema in S.TABLE_SCHEMAS.items():
+        bad = _rejected(_csv(spark, f"{data_dir}/{name}.csv", schema).withColumn("file", F.input_file_name()))
+        bad = bad.select(F.lit(name).alias("table_name"), "file", F.col(BAD_LINE).alias("line"))
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
+def csv_gate(spark: SparkSession, data_dir: str, max_share: float = 0.0) -> DataFrame:
+    """Per table the lines read, those rejected, and whether the share of
+    rejected ones is at most ``max_share`` (none may be, by default): table_name,
+    lines, rejected, passed."""
+    out = None
+    for name, schema in S.TABLE_SCHEMAS.items():
+        row = _csv(spark, f"{data_dir}/{name}.csv", schema).agg(F.count(F.lit(1)).alias("lines"), F.count(BAD_LINE).alias("rejected"))
+        row = row.select(F.lit(name).alias("table_name"), "lines", "rejected",
+                         (F.col("rejected") <= F.lit(max_share) * F.col("lines")).alias("passed"))
+        out = row if out is None else out.unionByName(row)
+    return out.orderBy("table_name")
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, label_col: str | None = None,
+             rejects: bool = False) -> DataFrame:
     """SRC1 / SRC4: one CSV file with a header row and an explicit schema.
     A written row label (pandas ``index_col=0``) is an ordinary first column;
-    ``label_col`` names it."""
-    df = spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
-    if label_col is not None and df.columns[0] != label_col:
-        df = df.withColumnRenamed(df.columns[0], label_col)
-    return df
+    ``label_col`` names it.  Malformed lines are no rows; with ``rejects`` they
+    are the result, as a column ``line``."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if label_col is not None:  # the file's own name of that column is empty or another
+        schema = StructType([StructField(label_col, schema.fields[0].dataType), *schema.fields[1:]])
+    df = _csv(spark, path, schema, check_header=False)
+    return _rejected(df).select(F.col(BAD_LINE).alias("line")) if rejects else _sound(df)
 
 
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:

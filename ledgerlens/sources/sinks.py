@@ -22,7 +22,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     header row)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("escape", '"')  # quotes are doubled, as in most CSV files
     w.format(fmt).save(path)
 
 
