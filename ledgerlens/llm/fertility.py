@@ -209,9 +209,15 @@ def keep_passing(docs: DataFrame, path: str, kind: str = "sentencepiece",
                  low: float | None = None, least_rows: int = 100, basis: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``apply_rules`` keeps,
     filtered as they stream by.  With ``low``, the texts of ``basis``, or else
-    of ``docs``, are measured before, for the quantiles."""
+    of ``docs``, are measured before, for the quantiles.
+
+    Null and empty texts fail the base rules and go; repeated rows stay or go
+    together; long texts are measured whole.  An empty table stays empty;
+    columns of any name stay as they are."""
     at, of = docs.columns.index(text), docs.columns.index(lang) if lang in docs.columns else None
     mark, limits = "_fertility_", None
+    while any(c.startswith(mark) for c in docs.columns):
+        mark = f"_{mark}"
     carried = () if low is None else tuple(CARRIED)
     if low is not None:
         traits = _traits(docs if basis is None else basis, path, kind, byte_ids, bands, least_words, most_repeat, text,

@@ -206,14 +206,21 @@ def trait_table(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
 def train(rows: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 30_000) -> Additive:
     """Fit on the traits of at most ``bound`` labelled ids: numbers only."""
-    sample = training_rows(rows, labels, label, bound).toPandas().sort_values(["doc_id", *FEATURES])
+    some = training_rows(rows, labels, label, bound)
+    # One row an id: that with the least traits, should an id have several.
+    some = some.groupBy("doc_id", "y").agg(F.min(F.struct(*FEATURES)).alias("row")).select("doc_id", "y", "row.*")
+    sample = some.toPandas().sort_values(["doc_id", *FEATURES])
     return fit(sample[list(FEATURES)].to_numpy(float), sample["y"].to_numpy(float))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bound: int = 30_000,
               label: str = "quality", text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, with all their columns, that score ``threshold``
-    or more.  Rows are filtered as they stream by, without a shuffle."""
+    or more.  Rows are filtered as they stream by, without a shuffle.
+
+    Null and empty texts are scored by their all-zero traits; repeated rows stay
+    or go together.  Without labels every score is 0.5.  An empty table stays
+    empty; columns of any name stay as they are."""
     sent = common.send(docs.sparkSession, train(trait_table(docs, text, key), labels, label, bound))
     at = docs.columns.index(text)
 
@@ -233,8 +240,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, bo
 
     Learns from at most ``bound`` labelled ids.  Null and empty texts have
     all-zero traits and are scored like any other.  Repeated rows get equal
-    scores; a repeated id may serve as several training rows.  An empty label
-    table gives 0.5 everywhere; an empty ``docs`` an empty result.  Other
+    scores; a repeated id serves as one training row.  Texts are read whole,
+    however long.  An empty label table gives 0.5 everywhere; an empty ``docs`` an empty result.  Other
     columns are ignored.
     """
     rows = trait_table(docs, text, key)

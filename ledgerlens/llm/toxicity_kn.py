@@ -196,8 +196,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, b
     The class models are fitted on at most ``bound`` labelled rows of each
     class, by a hash of their text's id; the shared backoff counts come from
     all documents.  Null and empty texts, and texts without words, score 0.
-    Repeated rows get equal scores.  Without rows of both classes every score
-    is 0.  Other columns are ignored.
+    Repeated rows get equal scores; a repeated id serves as one training row, the
+    first of its texts in their order.  Texts are read whole, however long.
+    Without rows of both classes every score is 0; an empty ``docs`` gives an
+    empty result.  Other columns are ignored.
     """
     spark = docs.sparkSession
     texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
@@ -208,7 +210,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, b
     for value in (0, 1):
         part = y.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
         chosen = part if chosen is None else chosen.unionByName(part)
-    sample = texts.join(chosen, "doc_id").dropDuplicates(["doc_id"]).toPandas()  # at most 2 x bound texts
+    # At most 2 x bound texts; of a repeated id the first in their order.
+    sample = texts.join(chosen, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).toPandas()
     sample = sample.sort_values("doc_id", ignore_index=True)
     scorer = fit(sample, texts)
     sent = common.send(spark, scorer)
