@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.core import (
@@ -42,44 +42,42 @@ def monthly_revenue_series(t: Tables, base_year: int = 2022) -> DataFrame:
         F.countDistinct("order_id").alias("orders"))
 
 
-def seasonality_index(monthly: DataFrame) -> DataFrame:
-    """Calendar-month revenue over all years divided by the mean of those
-    sums (at most 12 rows), from the monthly series."""
-    per = monthly.groupBy(F.substring("ym", 6, 2).cast("int").alias("cal_month")).agg(
-        F.sum("revenue_dec").cast("double").alias("_s"))
-    return per.select("cal_month", F.try_divide(F.col("_s"), F.avg("_s").over(Window.partitionBy()))
-                      .alias("season_index"))
-
-
 def revenue_forecast(t: Tables, months: int = 6, base_year: int = 2022) -> DataFrame:
     """M1: actual monthly rows plus ``months`` forecast rows.
 
     Trend: OLS of revenue on the running month number (``regr_slope`` /
-    ``regr_intercept``); forecast = trend x seasonality index (1.0 for a
-    calendar month never seen)."""
-    monthly = monthly_revenue_series(t, base_year).withColumn(
-        "revenue", F.col("revenue_dec").cast("double"))
-    fit = monthly.agg(F.regr_slope("revenue", "month_num").alias("slope"),
-                      F.regr_intercept("revenue", "month_num").alias("intercept"),
-                      F.max("month_num").alias("last_num"),
-                      F.max("ym").alias("last_ym"))
-    steps = fit.select("*", F.explode(F.sequence(F.lit(1), F.lit(months))).alias("i"))
-    period = F.add_months(F.to_date(F.concat(F.col("last_ym"), F.lit("-01"))), F.col("i"))
-    base = F.col("slope") * (F.col("last_num") + F.col("i")) + F.col("intercept")
-    fc = (steps.select(ym(period).alias("ym"), F.month(period).alias("cal_month"),
-                       base.alias("trend"))
-          .join(F.broadcast(seasonality_index(monthly)), "cal_month", "left")
-          .select("ym", (F.col("trend") * F.coalesce(F.col("season_index"), F.lit(1.0)))
-                  .alias("adj"), "trend"))
-    actual = monthly.select("ym", rnd("revenue_dec").alias("revenue"),
-                            F.col("orders").cast("long").alias("orders"),
-                            F.lit("actual").alias("type"),
-                            rnd("revenue_dec").alias("forecast_revenue"),
-                            F.lit(None).cast("double").alias("trend_revenue"))
-    forecast = fc.select("ym", rnd("adj").alias("revenue"), F.lit(None).cast("long").alias("orders"),
-                         F.lit("forecast").alias("type"), rnd("adj").alias("forecast_revenue"),
-                         rnd("trend").alias("trend_revenue"))
-    return actual.unionByName(forecast)
+    ``regr_intercept``); forecast = trend x seasonality index (a calendar
+    month's revenue over all years by the mean of those sums; 1.0 for one
+    never seen).  Orders are read once: everything after the monthly series
+    is windows over its rows, one a month."""
+    every, same = Window.partitionBy(), Window.partitionBy("cal_month")
+    monthly = monthly_revenue_series(t, base_year).withColumns({
+        "revenue": F.col("revenue_dec").cast("double"), "cal_month": F.substring("ym", 6, 2).cast("int")})
+    # Orders without a date are a group too; a group without any total is none.
+    month = F.when(F.col("revenue_dec").isNotNull(), F.coalesce("cal_month", F.lit(0)))
+    n_months = F.size(F.collect_set(month).over(every))
+    per_month = F.try_divide(F.sum("revenue_dec").over(every).cast("double"), n_months)
+    m = monthly.withColumns({
+        "slope": F.regr_slope("revenue", "month_num").over(every),
+        "intercept": F.regr_intercept("revenue", "month_num").over(every),
+        "last_num": F.max("month_num").over(every), "last_ym": F.max("ym").over(every),
+        "season": F.try_divide(F.sum("revenue_dec").over(same).cast("double"), per_month)})
+    seasons = F.collect_set(F.struct("cal_month", "season")).over(every)  # 12 at most
+    m = m.withColumn("seasons", F.filter(seasons, lambda x: x["cal_month"].isNotNull() & x["season"].isNotNull()))
+
+    def future(i: Column) -> Column:
+        period = F.add_months(F.to_date(F.concat(F.col("last_ym"), F.lit("-01"))), i)
+        trend = F.col("slope") * (F.col("last_num") + i) + F.col("intercept")
+        index = F.get(F.filter("seasons", lambda x: x["cal_month"] == F.month(period)), F.lit(0))["season"]
+        adjusted = rnd(trend * F.coalesce(index, F.lit(1.0)))
+        return F.struct(ym(period).alias("ym"), adjusted.alias("revenue"), F.lit(None).cast("long").alias("orders"),
+                        F.lit("forecast").alias("type"), adjusted.alias("forecast_revenue"), rnd(trend).alias("trend_revenue"))
+
+    actual = F.struct("ym", rnd("revenue_dec").alias("revenue"), F.col("orders").cast("long").alias("orders"),
+                      F.lit("actual").alias("type"), rnd("revenue_dec").alias("forecast_revenue"),
+                      F.lit(None).cast("double").alias("trend_revenue"))
+    ahead = F.transform(F.sequence(F.lit(1), F.lit(months)), future)
+    return m.select(F.inline(F.when(F.col("ym") == F.col("last_ym"), F.concat(F.array(actual), ahead)).otherwise(F.array(actual))))
 
 
 def forecast_fit(t: Tables, base_year: int = 2022) -> DataFrame:
