@@ -111,7 +111,7 @@ def _split(spans: list[bytes], match: regex.Pattern) -> pa.Array:
     return pa.ListArray.from_arrays(offsets([len(ws) for ws in words]), inner)
 
 
-def _span_counts(batches: Iterator[pa.RecordBatch], flush: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def _span_counts(batches: Iterator[pa.RecordBatch], flush: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Rows (span, n) of the distinct spans, about every ``flush`` bytes."""
     held: list[pa.Table] = []
     size = 0
@@ -238,7 +238,7 @@ def _assemble(batches: Iterator[pa.RecordBatch], at: np.ndarray, flat: np.ndarra
                     ["doc_id", "ids"])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, limit: int = 64 << 20, text: str = "text",
+def encode(docs: DataFrame, path: str, pattern: str, limit: int = 32 << 20, text: str = "text",
            key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array<int>).
 
