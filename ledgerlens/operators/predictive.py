@@ -20,7 +20,7 @@ from ledgerlens.functions.core import (
 )
 from ledgerlens.functions.moments import exact_avg, fixed, scalar_spread
 from ledgerlens.operators import logistic
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import ensure_checkpoint_dir, input_bytes
 from ledgerlens.sources.adapter import Tables
 
 # Fixed values of the reference: risk, CLV-tier and discount-band bins and
@@ -211,11 +211,27 @@ def confusion_matrix(t: Tables, **kw) -> DataFrame:
 
 
 # ── M6 / M10 / M11 / E4 discount bands ──────────────────────────────────────
+#: Bytes of line files a task.  The distinct order counts keep nearly every line of
+#: a task in memory, twice, and its sort once more: some 300 bytes a line.
+TASK_BYTES = 8 << 20
+MOST_TASKS = 50_000
+#: Bytes of product files from which they are surely not broadcast.
+LARGE_PRODUCTS = 32 << 20
+
+
 def _sold_lines(t: Tables, product_cols: Sequence[str]) -> DataFrame:
     # Products first, orders last: the order_id partitioning then also serves
-    # the distinct order counts.
+    # the distinct order counts.  Lines that the session's partitions would make
+    # large tasks of are dealt to more, so that a task's memory does not grow with them.
     live = not_cancelled(t.orders, "keep").select("order_id")
-    items = t.order_items.join(t.products.select("product_id", *product_cols), "product_id")
+    products, items = t.products.select("product_id", *product_cols), t.order_items
+    tasks = min(MOST_TASKS, -(-input_bytes(items) // TASK_BYTES))
+    many = tasks > int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    if many and input_bytes(products) > LARGE_PRODUCTS:
+        items = items.repartition(tasks, "product_id")
+    items = items.join(products, "product_id")
+    if many:
+        items = items.repartition(tasks, "order_id")
     return items.join(live, "order_id", "left_semi")
 
 
