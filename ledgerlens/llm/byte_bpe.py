@@ -1,8 +1,8 @@
 """Byte-level BPE: encoding by a fold of ranked merges, decoding by pieces.
 
 Texts are cut into spans at places that the pre-tokenising pattern never
-looks across.  A word, a match of the pattern, is an array of bytes; a Spark
-higher-order function folds the merges over it: the pair of neighbouring
+looks across.  A word, a match of the pattern, is an array of bytes, then of
+one long a piece; a Spark higher-order function folds the merges over it: the pair of neighbouring
 pieces whose merge has the lowest rank, the leftmost first, becomes one piece,
 until no pair is in the literal rank map.  Distinct spans are folded, not
 occurrences: the most frequent ones, counted over all texts, once into a
@@ -26,8 +26,16 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import common
 from ledgerlens.llm.textscan import Blocks, Texts, distinct_spans, slices, span_hashes, units
 
-BUCKETS = 16_381  #: of the literal rank map, so that a look-up sees a few entries
-SHIFT, SPREAD = 1 << 20, 40_503
+BUCKETS = 1 << 14  #: of the literal rank map, so that a look-up sees a few entries
+LEFT = (1 << 20) + 40_503  #: a pair's key is left id * LEFT + right id; odd, so that the low bits, its bucket, depend on both
+#: A piece of a word is one long: the rank of its merge with the next piece, its
+#: place in the word, its id.  The least of them is the next merge, the leftmost
+#: of equal ranks.
+RATE, IDS = 43, (1 << 20) - 1
+PLACE, PLACES = 1 << 20, ((1 << 23) - 1) << 20  #: a word of 8 MB and more has no place; its fold would take years
+NEVER = IDS << RATE  #: the rank of a pair that never merges
+BEGIN, END = NEVER + IDS, NEVER + PLACES + IDS  #: around every word: no merge takes them in
+BATCH = 4 << 20  #: bytes of an Arrow batch, whose rows are slices of texts
 LONGEST = 48  #: bytes of a span in the dictionary
 #: Unicode white space, which is what the pattern's \\s means.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -44,56 +52,58 @@ def exact_pattern(pattern: str) -> str:
 
 
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """A literal: buckets of (left id, right id) -> id of the merged piece,
-    which is also the merge's rank."""
+    """A literal: buckets of a pair's key -> rank of the merge, which is also
+    the merged piece's id."""
+    if max(ranks.values()) >= IDS:
+        raise ValueError("the vocabulary has too many ids")
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         for k in range(1, len(piece)):
             a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
             if a is not None and b is not None:
-                buckets[(a * SPREAD + b) % BUCKETS][str(a * SHIFT + b)] = rank
+                key = a * LEFT + b
+                buckets[key % BUCKETS][str(key)] = rank
     return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>")
 
 
 def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, body)
 
 
 def fold_merges(spans: Column, ranks: dict[bytes, int]) -> Column:
     """Ids of each span: an array of words, each an array of its bytes (0 to 255)."""
-    single = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
-    none = F.array().cast("array<int>")
+    single = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
 
     def all_words(table: Column, byte: Column) -> Column:
-        def rank(a: Column, b: Column) -> Column:
-            a = a.cast("long")
-            return F.get(table, ((a * SPREAD + b) % BUCKETS).cast("int"))[a * SHIFT + b]
-
-        def step(state: Column, _: Column) -> Column:
-            ids, rates = state["ids"], state["rates"]
+        def rate(a: Column, b: Column) -> Column:
+            key = a * LEFT + b
+            rank = F.get(table, key.bitwiseAND(BUCKETS - 1).cast("int"))[key]
+            return F.coalesce(F.shiftleft(rank.cast("long"), RATE), F.lit(NEVER))
 
+        def step(word: Column, _: Column) -> Column:
             def merge(least: Column) -> Column:
-                def at(p: Column) -> Column:
-                    new = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(least), F.slice(ids, p + 2, F.size(ids)))
-                    left = F.when(p > 1, F.array(rank(F.get(ids, p - 2), least))).otherwise(none)
-                    right = F.when(p < F.size(rates), F.array(rank(least, F.get(ids, p + 1)))).otherwise(none)
-                    return F.struct(new.alias("ids"),
-                                    F.concat(F.slice(rates, F.lit(1), F.greatest(p - 2, F.lit(0))), left, right,
-                                             F.slice(rates, p + 2, F.size(rates))).alias("rates"))
+                new = F.shiftright(least, RATE)
 
-                return F.when(least.isNull(), state).otherwise(_let(F.array_position(rates, least).cast("int"), at))
+                def at(p: Column) -> Column:
+                    left, taken, right = (F.get(word, p + k) for k in (-2, 0, 1))
+                    before = left.bitwiseAND(PLACES | IDS) + rate(left.bitwiseAND(IDS), new)
+                    here = least.bitwiseAND(PLACES) + new + rate(new, right.bitwiseAND(IDS))
+                    # Every piece is found once, by its place: removing and inserting cost least.
+                    rest = F.array_remove(F.array_remove(F.array_remove(word, left), least), taken)
+                    return F.array_insert(F.array_insert(rest, p - 1, before), p, here)
 
-            return _let(F.array_min(rates), merge)
+                return F.when(least < NEVER, _let(F.array_position(word, least).cast("int"), at)).otherwise(word)
 
-        def folded(ids: Column) -> Column:
-            more = F.size(ids) - 1
-            rates = F.zip_with(F.slice(ids, F.lit(1), more), F.slice(ids, F.lit(2), more), rank)
-            return F.aggregate(F.slice(ids, F.lit(2), more), F.struct(ids.alias("ids"), rates.alias("rates")),
-                               step, lambda s: s["ids"])
+            return _let(F.array_min(word), merge)
 
         def one(word: Column) -> Column:
-            first = F.transform(word, lambda b: F.get(byte, b.cast("int")))
-            return F.when(F.size(word) < 2, first).otherwise(_let(first, folded))
+            def piece(b: Column, i: Column) -> Column:
+                own, other = F.get(byte, b.cast("int")), F.get(byte, F.get(word, i + 1).cast("int"))
+                return rate(own, other) + i.cast("long") * PLACE + own
+
+            pieces = F.concat(F.array(F.lit(BEGIN)), F.transform(word, piece), F.array(F.lit(END)))
+            return F.aggregate(F.slice(word, F.lit(2), F.size(word)), pieces, step,
+                               lambda w: F.transform(F.slice(w, F.lit(2), F.size(w) - 2), lambda x: x.bitwiseAND(IDS).cast("int")))
 
         return F.transform(spans, lambda words: F.flatten(F.transform(words, one)))
 
@@ -134,6 +144,8 @@ def _span_counts(batches: Iterator[pa.RecordBatch], flush: int = 16 << 20) -> It
                 held, size = [], 0
     if held:
         yield from out()
+    del held
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def _span_words(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
@@ -249,12 +261,15 @@ def encode(docs: DataFrame, path: str, pattern: str, limit: int = 32 << 20, text
     """
     spark = docs.sparkSession
     ranks = read_ranks(path)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     texts = common.small_batches(docs.select(F.col(key).cast("long").alias("doc_id"),
                                              F.col(text).cast("string").alias("text")))
     known = dictionary(texts, ranks, pattern, limit)
     # Each kind of task gets its part alone.
     to_find = spark.sparkContext.broadcast((known.hashes, known.span_at, known.spans))
     to_fill = spark.sparkContext.broadcast((known.at, known.flat))
+    del known
+    pa.default_memory_pool().release_unused()
     rows = texts.mapInArrow(
         lambda it: _look_up(it, pattern, *to_find.value),
         "doc_ids array<long>, spans array<int>, slots array<int>, words array<array<array<smallint>>>")
