@@ -154,4 +154,4 @@ def test_entry_registers_all():
     import __spark_entry__ as E
     names = list(E.queries())
     assert [n for n in names if n.startswith("op")] == list(Q.queries()) and "pipeline" in names
-    assert len(Q.queries()) == 10 and set(Q.oracle_sql()) <= set(names)
+    assert len(Q.queries()) == 13 and set(Q.oracle_sql()) <= set(names)
